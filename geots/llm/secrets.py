@@ -1,0 +1,194 @@
+"""Secret scanning with a trigram inverted index, in DataFrame operations only.
+
+Each rule is a regular expression with, derived from it, a Boolean query over trigrams: an AND
+of ORs of trigrams that any match must contain. The index holds postings (trigram, document)
+for the trigrams of all queries, taken from lower-cased texts. Intersecting a document's
+postings with each query gives candidates, and only candidates meet the regular expression. A
+rule from whose expression no mandatory trigram follows scans every text.
+
+The postings of a document are intersected in one aggregation by document, so that a common
+trigram, whose posting list may be as long as the corpus, never gathers in one task.
+"""
+
+from __future__ import annotations
+
+import functools
+import operator
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import Scratch
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A kind of secret.
+
+    ``words``: the expression's mandatory literals; a match contains one of each inner tuple.
+    ``value``: the group whose length counts, 0 for the whole match; ``least``: that length.
+    ``either_case``: literals may be in either case. ``dense``: rule out texts cheaply first.
+    """
+
+    kind: str
+    pattern: str
+    words: tuple[tuple[str, ...], ...] = ()
+    value: int = 0
+    least: int = 1
+
+
+# The three base kinds, in the order that breaks ties.
+BASE = (
+    Rule(
+        "assign",
+        r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        (("password", "passwd", "secret", "token", "api_key", "apikey"),),
+        value=2,
+        least=6,
+    ),
+    Rule("access", r"AKIA[A-Z0-9]+", (("AKIA",),), least=20),
+    Rule("hex", r"[0-9a-f]+", least=24),
+)
+
+# Further kinds, with published prefixes of well-known credential formats.
+EXTRA = (
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", (("PRIVATE KEY-----",),), least=20),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),), least=40),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", (("eyJ",),), least=30),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", (("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"),), least=20),
+)
+
+
+def trigrams(word: str) -> list[str]:
+    low = word.lower()
+    return sorted({low[i : i + 3] for i in range(len(low) - 2)})
+
+
+def trigram_query(rule: Rule) -> list[list[list[str]]]:
+    """AND over OR over AND of trigrams; empty if the rule has none that is mandatory."""
+    return [[trigrams(w) for w in group] for group in rule.words if all(len(w) >= 3 for w in group)]
+
+
+def index_trigrams(rules: tuple[Rule, ...]) -> list[str]:
+    return sorted({t for rule in rules for group in trigram_query(rule) for word in group for t in word})
+
+
+def postings(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """The inverted index: (trigram number, id, r) for every query trigram in every text."""
+    vocabulary = index_trigrams(rules)
+    held = F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(i)) for i, t in enumerate(vocabulary)))
+    return (
+        docs.select("id", "r", F.lower("body").alias("low"))
+        .select(F.explode(F.array_compact(held)).alias("trigram"), "id", "r")
+    )
+
+
+def _satisfied(rule: Rule, numbers: dict[str, int], mask: Column) -> Column:
+    def all_of(word: list[str]) -> Column:
+        bits = sum(1 << numbers[t] for t in word)
+        return mask.bitwiseAND(F.lit(bits).cast("long")) == F.lit(bits).cast("long")
+
+    def any_of(group: list[list[str]]) -> Column:
+        return functools.reduce(operator.or_, map(all_of, group))
+
+    return functools.reduce(operator.and_, map(any_of, trigram_query(rule)))
+
+
+def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(id, r, one Boolean a rule with a query): postings intersected by document."""
+    numbers = {t: i for i, t in enumerate(index_trigrams(rules))}
+    if len(numbers) > 63:
+        raise ValueError(f"{len(numbers)} query trigrams do not fit one 64-bit posting mask")
+    masks = (
+        postings(docs, rules)
+        .groupBy("id", "r")
+        .agg(F.bit_or(F.expr("shiftleft(1L, trigram)")).alias("mask"))
+    )
+    keyed = [r for r in rules if trigram_query(r)]
+    flags = [_satisfied(r, numbers, F.col("mask")).alias(f"c_{r.kind}") for r in keyed]
+    any_flag = functools.reduce(operator.or_, (F.col(f"c_{r.kind}") for r in keyed))
+    return masks.select("id", "r", *flags).filter(any_flag)
+
+
+def _spans(rule: Rule, order: int, body: Column, hits: Column, gaps: Column) -> Column:
+    """Spans of a rule from its matches and the pieces of text between them, in code points."""
+    lengths = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h"), h.alias("m")))
+    empty = F.array().cast("array<struct<start:int,ord:int,end:int,m:string>>")
+    placed = F.aggregate(
+        lengths,
+        F.struct(F.lit(0).alias("at"), empty.alias("out")),
+        lambda acc, x: F.struct(
+            (acc["at"] + x["g"] + x["h"]).alias("at"),
+            F.concat(
+                acc["out"],
+                F.array(F.struct((acc["at"] + x["g"]).alias("start"), F.lit(order).alias("ord"), (acc["at"] + x["g"] + x["h"]).alias("end"), x["m"].alias("m"))),
+            ).cast("array<struct<start:int,ord:int,end:int,m:string>>").alias("out"),
+        ),
+    )["out"]
+    counted = (lambda s: F.length(F.regexp_extract(s["m"], rule.pattern, rule.value))) if rule.value else (lambda s: F.length(s["m"]))
+    kept = F.filter(placed, lambda s: counted(s) >= rule.least)
+    return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["ord"].alias("ord"), s["end"].alias("end")))
+
+
+def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """``docs`` with ``found``: an array of (start, ord, end), ``ord`` numbering ``rules``.
+
+    Spans are in code points, end exclusive, sorted by start and then by the rule's number.
+    Matches of one rule are leftmost and do not overlap; a match whose value is too short is
+    dropped but still used up. Other columns stay (an existing ``found`` is replaced).
+
+    Edge cases: a null text has no span, as the empty one; a row with a null key is scanned as
+    any other; rows that repeat key and text have the same spans; an empty table gives an empty one.
+    """
+    scratch = Scratch(docs.sparkSession, "secrets")
+    own = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")).withColumn("r", F.xxhash64("body"))
+    flagged = scratch.table(candidates(own, rules))
+    flagged = flagged.toDF("__id", "__r", *flagged.columns[2:])
+    body = F.coalesce(F.col(text), F.lit(""))
+    joined = docs.withColumn("__hash", F.xxhash64(body)).join(
+        flagged, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__r")), "left"
+    )
+    out = joined
+    for rule in rules:
+        if trigram_query(rule):
+            worth = F.coalesce(F.col(f"c_{rule.kind}"), F.lit(False))
+        else:
+            worth = body.rlike(f"(?:{rule.pattern[:-1]}{{{rule.least},}})" if rule.pattern.endswith("+") and not rule.value else rule.pattern)
+        # Between two rules the columns are split once each and then used twice.
+        out = out.withColumn(f"m_{rule.kind}", F.when(worth, F.regexp_extract_all(body, F.lit(rule.pattern), F.lit(0))))
+        out = out.withColumn(f"g_{rule.kind}", F.when(F.size(f"m_{rule.kind}") > 0, F.split(body, rule.pattern)))
+    none = F.array().cast("array<struct<start:int,ord:int,end:int>>")
+    parts = [
+        F.when(F.col(f"g_{r.kind}").isNotNull(), _spans(r, i, body, F.col(f"m_{r.kind}"), F.col(f"g_{r.kind}"))).otherwise(none)
+        for i, r in enumerate(rules)
+    ]
+    return out.withColumn("found", F.sort_array(F.concat(*parts))).drop(
+        "__id", "__r", "__hash", *(f"{p}_{r.kind}" for r in rules for p in "mgc")
+    )
+
+
+def spans_text(found: Column, rules: tuple[Rule, ...], only: tuple[Rule, ...] | None = None) -> Column:
+    """kind:start:end, comma-joined; ``only`` restricts it to some of the rules."""
+    kinds = F.array(*(F.lit(r.kind) for r in rules))
+    shown = found if only is None else F.filter(found, lambda s: s["ord"] < len(only))
+    return F.array_join(F.transform(shown, lambda s: F.concat_ws(":", kinds[s["ord"]], s["start"], s["end"])), ",")
+
+
+def redact_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = BASE + EXTRA, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with each found span replaced by ``mark``; overlapping spans become one mark."""
+    found = find_secrets(docs, key, text, rules)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    # Spans come sorted: a span that starts before the last end only lengthens the cut.
+    cut = F.aggregate(
+        F.col("found"),
+        start,
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
+            .otherwise(acc["out"])
+            .alias("out"),
+        ),
+        lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))),
+    )
+    return found.withColumn(text, F.when(F.size("found") > 0, cut).otherwise(F.col(text))).drop("found")
