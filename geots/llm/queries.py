@@ -5,10 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, secrets
+import public_tokenizers
+
+from . import bpe, line_dedup, matroska, packing, secrets, token_counts
 from .common import table
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of 2048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op7_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text stored as a Matroska file and read back."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    stored = matroska.read(matroska.store(docs).drop("text"))
+    return stored.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with later occurrences of repeated three-line windows cut."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +111,10 @@ FROM documents d LEFT JOIN g USING (doc_id)
 
 
 QUERIES = {
+    "op4_bpe": op4_bpe,
+    "op5_packing": op5_packing,
+    "op6_token_counts": op6_token_counts,
+    "op7_matroska": op7_matroska,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
