@@ -80,6 +80,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     scratch = Scratch(docs.sparkSession, "lines")
     cut = repeated_lines(docs, scratch, key, text).toDF("__k", "__r", "__cut")
+    # A merge join at every size: the table of cut lines grows with the corpus.
+    cut = cut.hint("merge")
     joined = docs.withColumn("__hash", F.xxhash64(F.col(text))).join(
         cut, (F.col(key) == F.col("__k")) & (F.col("__hash") == F.col("__r")), "left"
     )

@@ -7,10 +7,33 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, line_dedup, matroska, packing, secrets, token_counts
+from . import bpe, html_extract, line_dedup, matroska, packing, secrets, token_counts, topk
 from .common import table
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
+      FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(v.c) = len(q.c)),
+r AS (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -111,6 +134,8 @@ FROM documents d LEFT JOIN g USING (doc_id)
 
 
 QUERIES = {
+    "op1_top_k": op1_top_k,
+    "op3_html_text": op3_html_text,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
@@ -119,6 +144,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL = {
+    "op1_top_k": OP1_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_secret_scan": _op10_sql(),
 }
