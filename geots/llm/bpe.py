@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import with_columns
+from .common import map_batches, with_columns
 
 #: Pre-tokens that one worker remembers, and their characters; beyond either it starts afresh.
-REMEMBERED, REMEMBERED_CHARS = 800_000, 30_000_000
+REMEMBERED, REMEMBERED_CHARS = 400_000, 20_000_000
 
 # The pre-token pattern of byte-level vocabularies, with Unicode's white space spelled out.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,14 +68,9 @@ class ByteBpe:
         vocab = spec["model"]["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         symbols = byte_symbols()
-        back = {c: b for b, c in enumerate(symbols)}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.size = max([*vocab.values(), *self.added.values()]) + 1
-        self.id_bytes: list[bytes] = [b""] * self.size
-        for token, i in vocab.items():
-            self.id_bytes[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
-        for token, i in self.added.items():
-            self.id_bytes[i] = token.encode()
+        self.id_bytes = token_bytes(path)
+        self.size = len(self.id_bytes)
         self.byte_ids = np.array([vocab[c] for c in symbols], np.int64)
         self.left = np.array([vocab[a] for a, _ in pairs], np.int64)
         self.right = np.array([vocab[b] for _, b in pairs], np.int64)
@@ -88,7 +83,7 @@ class ByteBpe:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of symbols, -1 where there is no merge."""
-        keys = left * self.size + right
+        keys = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
         return np.where(self._keys[at] == keys, self._by_key[at], -1)
 
@@ -98,9 +93,9 @@ class ByteBpe:
             return []
         size = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(size)
-        sym = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        sym = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)].astype(np.int32)
         n = len(sym)
-        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         nxt[ends - 1] = -1
         prv[ends - size] = -1
 
@@ -120,7 +115,7 @@ class ByteBpe:
                     heapq.heappush(heap, r)
                 index[r].append(group)
 
-        enter(np.flatnonzero(nxt >= 0))
+        enter(np.flatnonzero(nxt >= 0).astype(np.int32))
         while heap:
             r = heapq.heappop(heap)
             lists = index.pop(r)
@@ -166,9 +161,19 @@ class ByteBpe:
         if index.full():
             self.index, self.table = Interner(), []
 
-    def decode(self, ids: bytes) -> str:
-        found = np.frombuffer(ids, "<u4").tolist()
-        return b"".join(map(self.id_bytes.__getitem__, found)).decode("utf-8", "replace")
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id; an added token has its string's."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    back = {c: b for b, c in enumerate(byte_symbols())}
+    found = {i: bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t, i in spec["model"]["vocab"].items()}
+    found |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+    return [found.get(i, b"") for i in range(max(found) + 1)]
+
+
+def decoded(ids: bytes, tokens: list[bytes]) -> str:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 _loaded: dict[str, ByteBpe] = {}
@@ -197,7 +202,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
             texts = [t or "" for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bpe.encode_batch(texts), pa.binary())], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -210,12 +215,12 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
     schema = with_columns(docs, (into, T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        tokens = token_bytes(path)
         for batch in batches:
-            texts = [bpe.decode(i or b"") for i in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
+            texts = pa.array((decoded(i or b"", tokens) for i in batch.column(ids).to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -59,6 +59,11 @@ def with_columns(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])
 
 
-def text_bytes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key`` and ``text`` alone, with a null text as the empty one."""
-    return df.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
+#: Bytes of text in an Arrow batch: what a Python worker holds at once, beside the longest text.
+BATCH_BYTES = 8 << 20
+
+
+def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` in batches of bounded bytes, however long the texts are."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import with_columns
+from .common import map_batches, with_columns
 
 # Elements by what they mean for the text.
 BLOCKS = frozenset(
@@ -183,4 +183,4 @@ def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFra
             texts = pa.array((main_text(h or "") for h in batch.column(html).to_pylist()), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, into])
 
-    return pages.mapInArrow(run, with_columns(pages, (into, T.StringType())))
+    return map_batches(pages, run, with_columns(pages, (into, T.StringType())))

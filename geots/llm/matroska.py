@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import with_columns
+from .common import map_batches, with_columns
 
 # Element ids of the Matroska specification.
 EBML, EBML_VERSION, EBML_READ_VERSION, MAX_ID, MAX_SIZE = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3
@@ -287,7 +287,7 @@ def store(docs: DataFrame, text: str = "text", into: str = "media") -> DataFrame
             files = pa.array((write(pad((t or "").encode())) for t in batch.column(text).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, files], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(run, with_columns(docs, (into, T.BinaryType())))
+    return map_batches(docs, run, with_columns(docs, (into, T.BinaryType())))
 
 
 def read(files: DataFrame, media: str = "media") -> DataFrame:
@@ -331,7 +331,7 @@ def read(files: DataFrame, media: str = "media") -> DataFrame:
             arrays = [pa.array((g[k] for g in got), kind) for k, kind in enumerate((pa.binary(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, "payload", "feature", "problem"])
 
-    return files.mapInArrow(run, schema)
+    return map_batches(files, run, schema)
 
 
 def packet_table(files: DataFrame, key: str, media: str = "media") -> DataFrame:
@@ -356,4 +356,4 @@ def packet_table(files: DataFrame, key: str, media: str = "media") -> DataFrame:
                     own = pa.repeat(batch.column(key)[k], len(packets))
                     yield pa.RecordBatch.from_arrays([own, *columns], names=schema.names)
 
-    return files.mapInArrow(run, schema)
+    return map_batches(files, run, schema)

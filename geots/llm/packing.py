@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .bpe import Interner
+from .common import map_batches
 
 WINDOW = 2048
 END = 1
@@ -196,4 +197,4 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", wi
             close(pieces)
         yield out()
 
-    return docs.mapInArrow(run, PIECES)
+    return map_batches(docs, run, PIECES)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, html_extract, line_dedup, matroska, packing, secrets, token_counts, topk
+from . import bpe, html_extract, line_dedup, matroska, near_dedup, packing, secret_scan, token_counts, topk, toxicity
 from .common import table
 
 
@@ -28,6 +28,21 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 
+def held_out(key: str = "doc_id"):
+    """A fifth of the documents, by a checksum of their id: no label of theirs is learnt."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", F.size("passages").cast("long").alias("n_passages")
+    )
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -69,6 +84,11 @@ def op7_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles are 0.85 alike."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with later occurrences of repeated three-line windows cut."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -94,8 +114,8 @@ FROM d LEFT JOIN c USING (doc_id)
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, with counts and a digest of the base kinds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rules = secrets.BASE + secrets.EXTRA
-    found = secrets.find_secrets(docs, rules=rules)
+    rules = secret_scan.BASE + secret_scan.EXTRA
+    found = secret_scan.find_secrets(docs, rules=rules)
 
     def number(i: int, name: str):
         return F.size(F.filter("found", lambda s: s["ord"] == i)).cast("long").alias(name)
@@ -105,13 +125,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         number(0, "n_assign"),
         number(1, "n_access"),
         number(2, "n_hex"),
-        F.sha2(secrets.spans_text(F.col("found"), rules, secrets.BASE), 256).alias("base_sha256"),
-        secrets.spans_text(F.col("found"), rules).alias("spans"),
+        F.sha2(secret_scan.spans_text(F.col("found"), rules, secret_scan.BASE), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("found"), rules).alias("spans"),
     )
 
 
 def _op10_sql() -> str:
-    rules = secrets.BASE + secrets.EXTRA
+    rules = secret_scan.BASE + secret_scan.EXTRA
     parts = []
     for i, r in enumerate(rules):
         pattern = r.pattern.replace("'", "''")
@@ -135,11 +155,13 @@ FROM documents d LEFT JOIN g USING (doc_id)
 
 QUERIES = {
     "op1_top_k": op1_top_k,
+    "op2_toxicity": op2_toxicity,
     "op3_html_text": op3_html_text,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_matroska": op7_matroska,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

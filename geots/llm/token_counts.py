@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import SPACE, ByteBpe, Interner
-from .common import with_columns
+from .common import map_batches, with_columns
 
 CHUNK = 512  # characters a chunk steps through
-SLICE = 4_000_000  # characters that step at once
-NODES = 1_500_000  # states of the word transducer, beyond which it is compiled afresh
+SLICE = 2_000_000  # characters that step at once
+NODES = 1_000_000  # states of the word transducer, beyond which it is compiled afresh
 
 # Classes of characters, after look-ahead, and states of the pre-tokenizer.
 LETTER, NUMBER, OTHER, JOIN, LAST, MID, QUOTE1, QUOTE2 = range(8)
@@ -228,7 +228,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 10
             totals = counts.count_batch([t or "" for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(totals, pa.int64())], names=[*batch.schema.names, "n_tokens"])
 
-    return docs.mapInArrow(run, schema).withColumns(
+    return map_batches(docs, run, schema).withColumns(
         {
             "n_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long"),
             "over_limit": F.col("n_tokens") > limit,

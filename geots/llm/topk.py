@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import map_batches
+
 STRIPE = 4096  # candidates of a task
 BLOCK = 4096  # queries of a task
 STEP = 256  # candidates between two looks at the bounds
@@ -48,7 +50,7 @@ def rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
             at = np.indices(m.shape).reshape(2, -1)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(m.size, dim, np.int32)), *(pa.array(x.astype(np.int32)) for x in at), pa.array(m.ravel())], names=["dim", "i", "j", "s"])
 
-    parts = vectors.select("dim", "v").mapInArrow(partial, "dim int, i int, j int, s double")
+    parts = map_batches(vectors.select("dim", "v"), partial, "dim int, i int, j int, s double")
     out = {dim: np.zeros((dim, dim)) for dim in kept}
     for r in parts.groupBy("dim", "i", "j").agg(F.sum("s").alias("s")).collect():
         out[r["dim"]][r["i"], r["j"]] = r["s"]
