@@ -434,14 +434,14 @@ for _i, _s in enumerate(monthly.STATS, 1):
     _monthly(f"a{_i}_monthly_{_s}", _s)
 
 
-@query("a5_month_dense", OBS + """SELECT tile_no, plot_id, point_id, month, round(mean, 6) AS mean
-FROM (SELECT DISTINCT tile_no, plot_id, point_id FROM obs WHERE plot_id % 10 = 0) CROSS JOIN (SELECT DISTINCT strftime(day, '%Y-%m') AS month FROM obs)
-LEFT JOIN stats USING (tile_no, plot_id, point_id, month)""")
+@query("a5_month_dense", OBS + """, by_plot AS (SELECT tile_no, plot_id, strftime(day, '%Y-%m') AS month, avg(v) AS mean FROM ndvi GROUP BY 1, 2, 3)
+SELECT tile_no, plot_id, month, round(mean, 6) AS mean
+FROM (SELECT DISTINCT tile_no, plot_id FROM obs) CROSS JOIN (SELECT DISTINCT strftime(day, '%Y-%m') AS month FROM obs) LEFT JOIN by_plot USING (tile_no, plot_id, month)""")
 def a5(spark, d):
-    """Every tenth plot as the table of points: all of them in all months, cloudy ones included."""
-    raw = bridge.raw(spark, d)
-    points = raw.filter("plot_id % 10 = 0").select("tile_no", "plot_id", "point_id")
-    return monthly.dense(_stats(spark, d), points, monthly.months(raw), ("tile_no", *monthly.POINT)).select("tile_no", "plot_id", "point_id", "month", r6("mean"))
+    """All plots of a tile in all months, cloudy ones included."""
+    raw, keys = bridge.raw(spark, d), ("tile_no", "plot_id")
+    stats = monthly.statistics(bridge.observations(spark, d), "v", keys=keys)
+    return monthly.dense(stats, raw, monthly.months(raw), keys).select(*keys, "month", r6("mean"))
 
 
 @query("a6_tile_dedup", OBS + "SELECT plot_id, point_id, month, " + ", ".join(f"round(arg_min({s}, tile_no) FILTER ({s} IS NOT NULL), 6) AS {s}" for s in monthly.STATS) + " FROM stats GROUP BY 1, 2, 3")
