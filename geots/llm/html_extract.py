@@ -39,6 +39,8 @@ NAMES = re.compile(
     r"comments?|commentlist|disqus|replies|reply|responses|pagination|pager|widget|toolbar|skip|hidden|sr-only)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Class and id words that name a page's own head where no article is open.
+HEADS = frozenset("header site-header page-header main-header top-header site_header page_header top".split())
 PRIOR = 4.0  # how much more a line in an article or main element counts
 SIGMA, RADIUS = 1.0, 2  # of the Gaussian, in lines
 SHARE = 0.5  # the threshold, in standard deviations of the smoothed ratios
@@ -81,8 +83,9 @@ class Lines(HTMLParser):
             while self.stack and self.stack[-1][0] != "html":
                 self.stack.pop()
         if tag in CONTENT and not any(NAMES.search(v or "") for k, v in attrs if k in ("class", "id")):
-            while self.stack and self.stack[-1][1] and self.stack[-1][0] in OUTSIDE | {"header"}:
-                self.stack.pop()  # an article in a menu: the menu was never closed
+            at = next((k for k, x in enumerate(self.stack) if x[1]), None)
+            if at is not None and self.stack[at][0] in ("nav", "header"):
+                del self.stack[at:]  # an article in a menu: the menu was never closed
         excluded, article, container = self.state()
         own = self.excludes(tag, dict(attrs), article)
         if own or tag in CONTAINERS or tag in OUTSIDE:
@@ -100,6 +103,8 @@ class Lines(HTMLParser):
             return True
         if tag in ("html", "body"):
             return False
+        if not article and tag not in CONTENT and HEADS & {w.lower() for k in ("class", "id") for w in (attrs.get(k) or "").split()}:
+            return True
         return any(NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
 
     def handle_endtag(self, tag: str) -> None:

@@ -26,11 +26,17 @@ def test_no_article_element():
     assert html_extract.main_text(page).split("\n") == [*(f"{LONG} {i}" for i in range(6)), "Short.", f"{LONG} end"]
 
 
+def test_head_of_the_page_and_of_the_article():
+    page = f'<body><div class="site-header"><p>{LONG} site</p></div><div class="story"><div class="story-header"><h1>A headline of this story</h1></div><p>{LONG}</p><p>{LONG} 2</p></div></body>'
+    assert html_extract.main_text(page) == f"A headline of this story\n{LONG}\n{LONG} 2"
+
+
 def test_broken_and_empty_pages():
     assert html_extract.main_text("") == ""
     assert html_extract.main_text("<html><head><title>x</title></head><body></body></html>") == ""
     assert html_extract.main_text(f"<article><p>{LONG}<p>{LONG}") == f"{LONG}\n{LONG}"
     assert html_extract.main_text(f"<nav><ul><li><a href=x>y</a><article><p>{LONG}</p></article>") == LONG
+    assert html_extract.main_text(f"<article><p>{LONG}</p></article><aside><article><p>{LONG} teaser</p></article></aside>") == LONG
     assert html_extract.main_text(f"<p>{LONG} 1 < 2 &amp; 3") == f"{LONG} 1 < 2 & 3"
     assert html_extract.main_text("<" * 5000).count("<") <= 5000
 
