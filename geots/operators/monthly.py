@@ -91,3 +91,13 @@ def daily_maximum(observations: DataFrame, value: str = "ndvi", day: str = "day"
 
 def province_month_maximum(daily: DataFrame, day: str = "day") -> DataFrame:
     return daily.groupBy(text.month_start(F.col(day)).alias("year_month")).agg(F.max("ndvi_max").alias("ndvi_max"))
+
+
+def plot_matrix(observations: DataFrame, value: str = "ndvi", day: str = "day") -> DataFrame:
+    """(plot_id, day, points, values): a plot's points of a day as arrays, in order of their ids.
+
+    A row holds one plot's points, some thousands; missing values are null.
+    """
+    cells = F.sort_array(F.collect_list(F.struct("point_id", F.col(value).alias("v"))))
+    rows = observations.groupBy("plot_id", day).agg(cells.alias("cells"))
+    return rows.select("plot_id", day, F.transform("cells", lambda c: c["point_id"]).alias("points"), F.transform("cells", lambda c: c["v"]).alias("values"))

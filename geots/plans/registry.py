@@ -700,6 +700,13 @@ def o16(spark, d):
     return monthly.long(_wide(spark, d), _MONTHS).select("plot_id", "point_id", "month", r6("ndvi"))
 
 
+@query("o18_plot_matrix", OBS + "SELECT plot_id, CAST(day AS VARCHAR) AS day, string_agg(CAST(point_id AS VARCHAR), ',' ORDER BY point_id) AS points, round(sum(v * (point_id + 1)), 6) AS mixed FROM loc GROUP BY 1, 2")
+def o18(spark, d):
+    rows = monthly.plot_matrix(bridge.sides(spark, d)[0], "v")
+    mixed = F.aggregate(F.zip_with("values", "points", lambda v, p: v * (p + 1)), F.lit(0.0), lambda s, x: s + x)
+    return rows.select("plot_id", day_text(), F.array_join(F.col("points").cast("array<string>"), ",").alias("points"), r6(mixed, "mixed"))
+
+
 @query("o19_plot_ready", OBS + "SELECT plot_id, month, round(v, 6) AS v FROM pm1 WHERE v IS NOT NULL QUALIFY count(*) OVER (PARTITION BY plot_id) >= 2")
 def o19(spark, d):
     return compare.plot_ready(bridge.plot_months(spark, d)[0], "v", ["plot_id"]).select("plot_id", "month", r6("v"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,18 +33,25 @@ def monthly_statistics(points: DataFrame, scenes: DataFrame, blocks: DataFrame,
 
 
 def run(spark: SparkSession, config: Config, tiles: DataFrame, scenes: DataFrame, blocks: DataFrame, meta: DataFrame) -> dict[str, int]:
-    """Write point master and the four tables below ``config.output_dir``; rows written by table.
+    """Write point master, the four tables and a summary of the run below ``config.output_dir``; rows written by table.
 
     ``scenes`` is a catalog (tile, scene_id, day); ``blocks`` and ``meta`` hold its rasters.
     """
+    began, timing = time.monotonic(), {}
+
+    def lap(stage: str) -> None:
+        timing[stage] = time.monotonic() - began - sum(timing.values())
+
     root = f"{config.output_dir}/{config.province}"
     plots = tables.polygons(spark, config.polygons)
     points = tables.grid(spark, config.grid_file)
     sinks.write_geoparquet(grid.point_master(points), f"{root}/point_master.parquet", ["Point"], mode="overwrite" if config.rebuild_points else "ignore")
+    lap("point_master")
     days = scenes.filter(F.col("day").between(F.lit(config.date_start), F.lit(config.date_end)))
     stats_path = f"{root}/_stats.parquet"
     placed = tile_points(points, plots, tiles)
     monthly_statistics(placed, days, blocks, meta, config).write.mode("overwrite").parquet(stats_path)
+    lap("statistics")
     stats = spark.read.parquet(stats_path)
     # Some hundred months in decades of scenes.
     names = sorted(r["month"] for r in monthly.months(days).collect())
@@ -50,5 +60,13 @@ def run(spark: SparkSession, config: Config, tiles: DataFrame, scenes: DataFrame
         out = f"{root}/ndvi_{name}.parquet"
         sinks.write_geoparquet(table.withColumn("geometry", wkb.point_wkb("lon", "lat")), out, ["Point"])
         written[name] = spark.read.parquet(out).count()
+        lap(f"write_{name}")
+    counts = {
+        "tiles_processed": days.select("tile").distinct().count(),
+        "scenes_processed": days.count(),
+        "points_written": sum(written.values()),
+    }
+    summary = sinks.run_summary(config.province, dt.date.today().isoformat(), time.monotonic() - began, counts, timing)
+    sinks.put_text(spark, f"{root}/performance_summary.json", summary)
     sinks.remove(spark, stats_path)  # only now: a failed run keeps its intermediate table
     return written

@@ -181,6 +181,40 @@ def test_whole_run_writes_four_tables(spark, tmp_path):
     names = [p for p in (tmp_path / "out/TRAT/ndvi_mean.parquet").iterdir() if p.suffix == ".parquet"]
     assert all(json.loads(pq.read_metadata(p).metadata[b"geo"])["primary_column"] == "geometry" for p in names)
     assert spark.read.parquet(f"{tmp_path}/out/TRAT/point_master.parquet").count() == 16
+    told = json.loads((tmp_path / "out/TRAT/performance_summary.json").read_text())
+    assert (told["tiles_processed"], told["scenes_processed"], told["points_written"]) == (2, 6, 64)
+    assert not (tmp_path / "out/TRAT/_stats.parquet").exists()
+
+
+def test_command_line_grid(spark, tmp_path):
+    from geots import __main__ as command
+
+    (tmp_path / "in").mkdir()
+    ring = ring_column([(99.0, 13.5), (99.0004, 13.5), (99.0004, 13.5004), (99.0, 13.5004), (99.0, 13.5)])
+    for name in ("b", "a"):
+        plots = spark.range(1).select(wkb.encoded(F.array(F.array(ring))).alias("geometry"))
+        pq.write_table(plots.toArrow(), tmp_path / "in" / f"{name}.parquet")
+    command.main(["grid", "--polygon-dir", str(tmp_path / "in"), "--grid-dir", str(tmp_path)])
+    got = spark.read.parquet(f"{tmp_path}/a_grid.parquet")
+    assert got.count() > 9 and {(r["province"], r["plot_id"]) for r in got.collect()} == {("A", 0)}
+    lon, lat = got.agg(F.avg("lon"), F.avg("lat")).first()
+    assert lon == pytest.approx(99.0002, abs=1e-4) and lat == pytest.approx(13.5002, abs=1e-4)
+    before = got.inputFiles()
+    command.main(["grid", "--polygon-file", str(tmp_path / "in/a.parquet"), "--grid-dir", str(tmp_path)])
+    assert spark.read.parquet(f"{tmp_path}/a_grid.parquet").inputFiles() == before
+    folder = tables.polygon_folder(spark, str(tmp_path / "in"))
+    assert {r["province"] for r in folder.collect()} == {"A", "B"}
+    (tmp_path / "none").mkdir()
+    with pytest.raises(SystemExit):
+        command.main(["grid", "--polygon-dir", str(tmp_path / "none")])
+
+
+def test_block_bytes(spark):
+    from geots.functions import blocks
+
+    rows = [(struct.pack("<3H", 1, 2, 65535), "u16"), (struct.pack("<2f", 0.5, -1), "f32"), (None, "u8")]
+    got = spark.createDataFrame(rows, "data binary, kind string").select(blocks.samples("data", "kind").alias("v")).collect()
+    assert [r["v"] for r in got] == [[1, 2, 65535], [0.5, -1], None]
 
 
 def test_grid_checks(spark, tmp_path):
