@@ -25,9 +25,10 @@ def dense(stats: DataFrame, points: DataFrame, months: DataFrame, keys: tuple[st
     """``stats`` with a row for every point of ``points`` and every month of ``months``.
 
     Points that were never clear and months without a clear scene stay, with null statistics.
-    ``months`` (month) has some hundred rows in decades of scenes: a proven bound.
+    ``months`` (month) has some hundred rows in decades of scenes, and is read as one list.
     """
-    frame = points.select(*keys).distinct().crossJoin(F.broadcast(months.select("month").distinct()))
+    listed = months.agg(F.array_sort(F.collect_set("month")).alias("m")).scalar()
+    frame = points.select(*keys).distinct().select(*keys, F.explode(listed).alias("month"))
     return frame.join(stats, [*keys, "month"], "left")
 
 
