@@ -61,8 +61,8 @@ def _matrices(batch: pa.RecordBatch):
     """(dim, float64 matrix) of a batch's vectors."""
     dims = batch.column("dim").to_numpy(zero_copy_only=False)
     for dim in np.unique(dims).tolist():
-        rows = batch.filter(pa.array(dims == dim)).column("v").flatten()
-        yield dim, rows.to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+        own = batch.filter(pa.array(dims == dim))
+        yield dim, own.column("v").flatten().to_numpy(zero_copy_only=False).reshape(own.num_rows, dim).astype(np.float64)
 
 
 def search(q_ids, q, c_ids, c, basis, k: int):

@@ -49,18 +49,24 @@ def test_held_out_documents(spark):
 
 
 def test_passages_are_places_in_the_text(spark):
-    clean = [(i, f"the quiet river runs past field number {i} and nobody minds it") for i in range(60)]
-    toxic = [(100 + i, f"the quiet river runs past field number {i} you rotten filthy scoundrel and nobody minds it") for i in range(60)]
-    docs = spark.createDataFrame(clean + toxic + [(999, None), (998, "")], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in clean + toxic], "doc_id long, toxic int")
+    rng = random.Random(8)
+    words = [f"{a}{b}{c}" for a in "bdkmt" for b in "aeiou" for c in "lnrs"]
+
+    def prose() -> str:
+        return " ".join(rng.choices(words, k=30))
+
+    clean = [(i, prose()) for i in range(150)]
+    toxic = [(1000 + i, f"{prose()} rotten filthy scoundrel {prose()}") for i in range(150)]
+    docs = spark.createDataFrame(clean + toxic + [(9990, None), (9980, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in clean + toxic], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     got = {r["doc_id"]: r for r in toxicity.score(docs.withColumn("score", F.lit("old")), model).collect()}
     text = dict(toxic)
     for i in text:
         assert got[i]["predicted"] == 1
-        assert [text[i][p["start"] : p["end"]] for p in got[i]["passages"]] == ["rotten filthy scoundrel"] or "filthy" in text[i][got[i]["passages"][0]["start"] : got[i]["passages"][0]["end"]]
+        assert [text[i][p["start"] : p["end"]] for p in got[i]["passages"]] == ["rotten filthy scoundrel"]
     assert all(got[i]["predicted"] == 0 and not got[i]["passages"] for i, _ in clean)
-    assert got[999]["score"] == got[998]["score"] < 0.5 and got[999]["passages"] == []
+    assert got[9990]["score"] == got[9980]["score"] < 0.5 and got[9990]["passages"] == []
 
 
 def test_no_labels_and_empty_tables(spark):
