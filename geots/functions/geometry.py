@@ -199,10 +199,16 @@ def _touch(e: Column, f: Column) -> Column:
     return overlap & (a * b <= 0) & (c * d <= 0)
 
 
-def intersects(edges_a: Column, edges_b: Column) -> Column:
-    """Whether two geometries, by their edges, share a point."""
-    a, b = F.get(edges_a, F.lit(0)), F.get(edges_b, F.lit(0))
+def intersects(parts_a: Column, parts_b: Column) -> Column:
+    """Whether two geometries share a point: their edges do, or a part of one lies inside the other."""
+    edges_a, edges_b = edges(parts_a), edges(parts_b)
+
+    def any_inside(parts: Column, others: Column) -> Column:
+        def first(rings: Column) -> Column:
+            return F.get(F.get(rings, F.lit(0)), F.lit(0))
+
+        return F.exists(parts, lambda rings: in_polygon(others, first(rings)["x"], first(rings)["y"]))
+
     return F.coalesce(
-        F.exists(edges_a, lambda e: F.exists(edges_b, lambda f: _touch(e, f))) | in_polygon(edges_b, a["x1"], a["y1"]) | in_polygon(edges_a, b["x1"], b["y1"]),
-        F.lit(False),
+        F.exists(edges_a, lambda e: F.exists(edges_b, lambda f: _touch(e, f))) | any_inside(parts_a, edges_b) | any_inside(parts_b, edges_a), F.lit(False)
     )

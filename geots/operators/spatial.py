@@ -34,7 +34,7 @@ def intersecting(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     x, y = F.col("b_a"), F.col("b_b")
     first = (F.col("cx") == F.floor(F.greatest(x["xmin"], y["xmin"]) / cell)) & (F.col("cy") == F.floor(F.greatest(x["ymin"], y["ymin"]) / cell))
     boxes = (x["xmin"] <= y["xmax"]) & (y["xmin"] <= x["xmax"]) & (x["ymin"] <= y["ymax"]) & (y["ymin"] <= x["ymax"])
-    exact = geometry.intersects(geometry.edges(F.col("parts_a")), geometry.edges(F.col("parts_b")))
+    exact = geometry.intersects(F.col("parts_a"), F.col("parts_b"))
     return a.join(b, ["cx", "cy"]).filter(first & boxes).filter(exact).select(left_key, right_key)
 
 

@@ -1,7 +1,7 @@
 """One query an operator over the bridge tables, each with its SQL counterpart.
 
 Names begin with the operator's number in the inventory. Computed doubles are rounded to six
-places on both sides, days are written as text.
+places on both sides, by the same arithmetic, days are written as text.
 """
 
 from __future__ import annotations
@@ -27,11 +27,26 @@ BLOCK = 16
 CONFIG = Config(offset_after=bridge.AFTER, block=BLOCK)
 
 
+def sql_rounded(sql: str) -> str:
+    """``round(x, 6)`` of the SQL texts as plain arithmetic, which both engines do alike at halves."""
+    at = 0
+    while (at := sql.find("round(", at)) >= 0:
+        depth, end = 1, at + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[at + 6 : end - 1]
+        if inner.endswith(", 6"):
+            sql = f"{sql[:at]}(floor(({inner[:-3]}) * CAST(1000000 AS DOUBLE) + CAST(0.5001 AS DOUBLE)) / CAST(1000000 AS DOUBLE)){sql[end:]}"
+        at += 1
+    return sql
+
+
 def query(name: str, sql: str | None = None):
     def add(f: Query) -> Query:
         QUERIES[name] = f
         if sql is not None:
-            ORACLE_SQL[name] = sql
+            ORACLE_SQL[name] = sql_rounded(sql)
         return f
 
     return add
@@ -39,7 +54,12 @@ def query(name: str, sql: str | None = None):
 
 def r6(c: Column | str, name: str | None = None) -> Column:
     column = F.col(c) if isinstance(c, str) else c
-    return F.round(column, 6).alias(name or str(c))
+    return rounded(column).alias(name or str(c))
+
+
+def rounded(x: Column) -> Column:
+    """Six places by plain arithmetic, halves up even where summing has cost a mean its last bit."""
+    return F.floor(x * F.lit(1e6) + F.lit(0.5001)) / F.lit(1e6)
 
 
 def day_text(c: str = "day") -> Column:
@@ -692,7 +712,7 @@ def _wide(spark, d):
 
 @query("o17_pivot", OBS + "SELECT plot_id, point_id, " + ", ".join(f"""round(max(CASE WHEN month = '{m}' THEN m END), 6) AS "{m}" """ for m in _MONTHS) + " FROM (SELECT plot_id, point_id, month, arg_min(mean, tile_no) FILTER (mean IS NOT NULL) AS m FROM stats GROUP BY 1, 2, 3) GROUP BY 1, 2")
 def o17(spark, d):
-    return _wide(spark, d).select("plot_id", "point_id", *(F.round(F.col(f"`{m}`"), 6).alias(m) for m in _MONTHS))
+    return _wide(spark, d).select("plot_id", "point_id", *(rounded(F.col(f"`{m}`")).alias(m) for m in _MONTHS))
 
 
 @query("o16_unpivot", OBS + ", p AS (SELECT plot_id, point_id, month, arg_min(mean, tile_no) FILTER (mean IS NOT NULL) AS m FROM stats GROUP BY 1, 2, 3) SELECT plot_id, point_id, k.month, round(p.m, 6) AS ndvi FROM (SELECT DISTINCT plot_id, point_id FROM p) CROSS JOIN (SELECT unnest([" + ", ".join(f"'{m}'" for m in _MONTHS) + "]) AS month) k LEFT JOIN p USING (plot_id, point_id, month)")

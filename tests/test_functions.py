@@ -109,12 +109,19 @@ def test_repair(spark):
 @pytest.mark.parametrize("move,want", [((20, 0), False), ((10, 0), True), ((10, 10), True), ((5, 5), True), ((2, 2), True), ((4.5, 4.5), True)])
 def test_intersects(spark, move, want):
     small = [(move[0] + x, move[1] + y) for x, y in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]
-    assert one(spark, geometry.intersects(geometry.edges(parts([SQUARE])), geometry.edges(parts([small])))) is want
+    assert one(spark, geometry.intersects(parts([SQUARE]), parts([small]))) is want
 
 
 def test_inside_a_hole_is_apart(spark):
     small = [(4.5, 4.5), (5.5, 4.5), (5.5, 5.5), (4.5, 5.5), (4.5, 4.5)]
-    assert one(spark, geometry.intersects(geometry.edges(parts([SQUARE, HOLE])), geometry.edges(parts([small])))) is False
+    assert one(spark, geometry.intersects(parts([SQUARE, HOLE]), parts([small]))) is False
+
+
+def test_a_second_part_inside_counts(spark):
+    far = [(50, 50), (51, 50), (51, 51), (50, 51), (50, 50)]
+    small = [(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]
+    assert one(spark, geometry.intersects(parts([far], [small]), parts([SQUARE]))) is True
+    assert one(spark, geometry.intersects(parts([SQUARE]), parts([far], [small]))) is True
 
 
 def test_wkb():
