@@ -1,10 +1,13 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its word shingles. Equal sets are one item at once. Items enter
-independent trees: a tree's root level deals them by one minwise token, and a node that still
-holds many items is dealt again by further minwise tokens, chosen by the node itself, along two
-paths at the upper levels. Nodes small enough are compared exhaustively on sketches of the
-minwise tokens; pairs that may reach the threshold are candidates. Of a node's candidates only a
+independent trees: a tree's root level deals them by one minwise token. Members of a node that
+holds many items are first linked with a sample of its members. A node that this makes one
+component is done; a node of items little alike is dealt again by further minwise tokens, chosen
+by the node itself, along two paths at every level; of a node of items much alike, those outside
+its largest component are compared with all others, block by block. Nodes small enough and blocks
+are compared exhaustively on sketches of the minwise tokens; pairs that may reach the threshold
+are candidates. Of a node's candidates between components only a
 spanning forest is confirmed first, on the full sets; where a confirmation fails, the full sets of
 the members that still have a candidate in another component come to the node, and it compares
 those exactly. So a large group of copies costs rows in proportion to its size, and no link
@@ -30,8 +33,9 @@ WORDS = 5  # of a shingle
 TREES = 12
 SKETCH = 256  # minwise tokens of an item, one byte each
 LEAF = 2048  # items of a node that is compared exhaustively
-FORKS = 2  # split levels at which a node is dealt along two paths
-DEPTH = 16  # split levels; items that agree on so many tokens are dealt into chunks
+DEPTH = 8  # split levels, two paths at each; larger nodes below are compared block by block
+PIVOTS = 32  # members of a large node, on average, that all its members are compared with
+ALIKE = 0.5  # mean similarity from which dealing a node again costs more than its blocks
 SIGMAS = 3.6  # how far below the threshold a sketch may fall by chance
 HEAVY = 4_000_000  # shingles of a node's members beyond which its candidates are confirmed pair by pair
 
@@ -124,14 +128,15 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(-1, SKETCH)
 
 
-def _pairs(sketch: np.ndarray, sizes: np.ndarray, least: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs i < j of rows that agree in at least ``least`` places, and in how many.
+def _pairs(sketch: np.ndarray, sizes: np.ndarray, labels: np.ndarray, least: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i < j of rows of different labels that agree in at least ``least`` places, and in how many.
 
     Sets whose sizes alone rule the threshold out are no pair.
     """
     ii, jj, nn = [], [], []
     for i in range(len(sketch) - 1):
-        near = np.flatnonzero((100 * sizes[i + 1 :] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[i + 1 :])) + i + 1
+        fits = (100 * sizes[i + 1 :] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[i + 1 :])
+        near = np.flatnonzero(fits & (labels[i + 1 :] != labels[i])) + i + 1
         same = np.count_nonzero(sketch[near] == sketch[i], axis=1)
         at = np.flatnonzero(same >= least)
         ii.append(np.full(len(at), i))
@@ -155,8 +160,51 @@ def _in_order(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> Iterator[tuple[int
         yield from zip(i[part].tolist(), j[part].tolist())
 
 
+def _by_label(labels: list[int]) -> list[int]:
+    """Parents for ``_find``: members of one label hang on the first of them."""
+    first: dict[int, int] = {}
+    return [first.setdefault(x, k) for k, x in enumerate(labels)]
+
+
+def _pivot_edges(least: float, percent: int):
+    """For each part of a large node: a spanning forest over candidates of a member and a pivot.
+
+    With it come the sum of their similarities and the number of pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "part"):
+            keys = table.column("part").to_numpy()
+            out = []
+            for rows in np.split(np.arange(len(keys)), np.flatnonzero(keys[1:] != keys[:-1]) + 1):
+                own = table.slice(int(rows[0]), len(rows))
+                ids, sizes, sketch = own.column("rep").to_numpy(), own.column("n").to_numpy(), _matrix(own.column("sketch"))
+                pivot = own.column("pivot").to_numpy()
+                members, pivots = np.flatnonzero(pivot == 0), np.flatnonzero(pivot == 1)
+                ii, jj, nn, total, pairs = [], [], [], 0.0, 0
+                for p in pivots.tolist():
+                    others = members[ids[members] != ids[p]]
+                    same = np.count_nonzero(sketch[others] == sketch[p], axis=1)
+                    total, pairs = total + float(same.sum()) / SKETCH, pairs + len(others)
+                    at = (same >= least) & (100 * sizes[others] >= percent * sizes[p]) & (100 * sizes[p] >= percent * sizes[others])
+                    ii.append(np.full(int(at.sum()), p)), jj.append(others[at]), nn.append(same[at])
+                parent, left, right = _by_label(ids.tolist()), [], []
+                if ii:
+                    for x, y in _in_order(*map(np.concatenate, (ii, jj, nn))):
+                        a, b = _find(parent, x), _find(parent, y)
+                        if a != b:
+                            parent[max(a, b)] = min(a, b)
+                            left.append(int(ids[x])), right.append(int(ids[y]))
+                out.append((own.column("node")[0].as_py(), left, right, total, pairs))
+            columns = list(zip(*out))
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["node", "left", "right", "total", "pairs"])
+
+    return run
+
+
 def _leaf_edges(least: float, percent: int):
-    """For each node: its members' spanning forest over the candidates, the likeliest first.
+    """For each node: a spanning forest over the candidates between components, the likeliest first.
 
     A node whose candidates are more than that forest comes with its members, sizes and sketches.
     """
@@ -166,16 +214,16 @@ def _leaf_edges(least: float, percent: int):
             keys = table.column("node").to_numpy()
             ids = table.column("rep").to_numpy()
             sizes = table.column("n").to_numpy()
-            sketch = _matrix(table.column("sketch"))
+            sketch, known = _matrix(table.column("sketch")), table.column("label").to_numpy()
             begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             size = np.diff(np.append(begin, len(keys)))
             out: list[tuple] = []
             for b, m in zip(begin[size > 1].tolist(), size[size > 1].tolist()):
                 own = slice(b, b + m)
-                i, j, n = _pairs(sketch[own], sizes[own], least, percent)
+                i, j, n = _pairs(sketch[own], sizes[own], known[own], least, percent)
                 if not len(i):
                     continue
-                parent, left, right = list(range(m)), [], []
+                parent, left, right = _by_label(known[own].tolist()), [], []
                 for x, y in _in_order(i, j, n):
                     p, q = _find(parent, x), _find(parent, y)
                     if p != q:
@@ -198,9 +246,8 @@ def _open_pairs(batch: pa.RecordBatch, least: float, percent: int) -> Iterator[t
         own = dict(known or ())
         ids, sketch = np.array(members), np.frombuffer(data, np.uint8).reshape(-1, SKETCH)
         labels = np.array([own.get(x, x) for x in members])
-        i, j, _ = _pairs(sketch, np.array(sizes), least, percent)
-        apart = labels[i] != labels[j]
-        yield node, ids, sizes, sketch, labels, i[apart], j[apart]
+        i, j, _ = _pairs(sketch, np.array(sizes), labels, least, percent)
+        yield node, ids, sizes, sketch, labels, i, j
 
 
 def _open_members(least: float, percent: int):
@@ -240,9 +287,8 @@ def _exact_links(least: float, percent: int):
                 part = table.slice(int(rows[0]), len(rows))
                 ids, labels = part.column("rep").to_numpy(), part.column("label").to_numpy()
                 own = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
-                i, j, n = _pairs(_matrix(part.column("sketch")), part.column("n").to_numpy(), least, percent)
-                first = {}
-                parent = [first.setdefault(x, k) for k, x in enumerate(labels.tolist())]
+                i, j, n = _pairs(_matrix(part.column("sketch")), part.column("n").to_numpy(), labels, least, percent)
+                parent = _by_label(labels.tolist())
                 for x, y in _in_order(i, j, n):
                     p, q = _find(parent, x), _find(parent, y)
                     if p != q and _linked(own[x], own[y], percent):
@@ -274,11 +320,14 @@ def _confirm(percent: int):
     return run
 
 
-def _leaves(scratch: Scratch, items: DataFrame) -> DataFrame:
-    """(node, rep): members of all nodes that are compared exhaustively, over all trees."""
+def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """(node, rep): members of all nodes and blocks that are compared exhaustively, over all trees.
+
+    With them comes (id, root), the components that the pivots of large nodes have found.
+    """
     tree = items.select("rep", F.posexplode("roots").alias("tree", "token"))
     level = tree.select(F.xxhash64("tree", "token").alias("node"), "rep")
-    leaves, sketches = None, items.select("rep", "sketch")
+    leaves, found, sketches = None, None, items.select("rep", F.col("n").alias("size"), "sketch")
     for depth in range(DEPTH + 1):
         counts = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).filter("n > 1")
         held = scratch.table(level.join(counts, "node").select("node", "rep", "n", "pivot"))
@@ -286,20 +335,74 @@ def _leaves(scratch: Scratch, items: DataFrame) -> DataFrame:
         leaves = done if leaves is None else leaves.unionByName(done)
         big = held.filter(F.col("n") > LEAF)
         if big.isEmpty():
-            return leaves
-        if depth == DEPTH:
             break
-        forks = F.sequence(F.lit(0), F.lit(1 if depth < FORKS else 0))
-        chosen = big.select("node", "rep", F.explode(forks).alias("fork")).join(sketches, "rep")
+        found, alike = _contracted(scratch, texts, items, big, found, least, percent)
+        labelled = big.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").select("node", "rep", "n", F.coalesce("root", "rep").alias("label"))
+        # The largest component of each node; a node that is one component has nothing left to find.
+        sizes = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("m"))
+        main = sizes.groupBy("node").agg(F.max(F.struct("m", "label")).alias("most"), F.sum("m").alias("all"))
+        open_nodes = main.filter("most.m < all").join(alike, "node").select("node", F.col("most.label").alias("main"), F.col("most.m").alias("m"), "alike")
+        rest = scratch.table(labelled.join(open_nodes, "node"))
+        tight = F.lit(True) if depth == DEPTH else F.col("alike") >= ALIKE
+        leaves = leaves.unionByName(_blocks(rest.filter(tight)))
+        loose = rest.filter(~tight)
+        if loose.isEmpty():
+            break
+        chosen = loose.select("node", "rep", F.explode(F.array(F.lit(0), F.lit(1))).alias("fork")).join(sketches, "rep")
         place = F.pmod(F.xxhash64("node", "fork", F.lit("place")), F.lit(SKETCH)).cast("int")
         byte = F.expr("substring(sketch, place + 1, 1)")
         level = scratch.table(chosen.withColumn("place", place).select(F.xxhash64("node", "fork", byte).alias("node"), "rep"))
-    # Items that agree on DEPTH tokens: chunks of bounded size, each with the node's first item.
-    chunks = F.ceil(F.col("n") / (LEAF // 2))
-    chunk = F.pmod(F.xxhash64("rep", F.lit("chunk")), chunks)
-    split = big.select(F.xxhash64("node", chunk).alias("node"), "rep", "pivot")
-    pivots = split.groupBy("node").agg(F.min("pivot").alias("rep"))
-    return leaves.unionByName(split.select("node", "rep").unionByName(pivots).distinct())
+    return leaves, found
+
+
+def _contracted(
+    scratch: Scratch, texts: DataFrame, items: DataFrame, big: DataFrame, found: DataFrame | None, least: float, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """``found`` with the confirmed links of large nodes' members and pivots, and (node, alike)."""
+    parts = F.ceil(F.col("n") / (LEAF // 2))
+    pivots = big.filter((F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / PIVOTS)) == 0) | (F.col("rep") == F.col("pivot")))
+    spread = pivots.select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("p"), F.lit(1).alias("pivot"))
+    own = big.select("node", "rep", F.pmod(F.xxhash64("rep", F.lit("part")), parts).alias("p"), F.lit(0).alias("pivot"))
+    dealt = own.unionByName(spread).join(items.select("rep", "n", "sketch"), "rep")
+    dealt = dealt.select(F.xxhash64("node", "p").alias("part"), "node", "rep", "n", "sketch", "pivot")
+    tasks = max(1, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    compared = scratch.table(
+        map_batches(
+            dealt.repartition(tasks, "part").sortWithinPartitions("part", "rep"),
+            _pivot_edges(least, percent),
+            "node long, left array<long>, right array<long>, total double, pairs long",
+        )
+    )
+    edges = compared.select(F.explode(F.arrays_zip("left", "right")).alias("e")).select(
+        F.least("e.left", "e.right").alias("a"), F.greatest("e.left", "e.right").alias("b")
+    )
+    links = _confirmed(scratch, texts, items, scratch.table(edges.distinct()), percent)
+    if found is None:
+        found = scratch.table(components(scratch, links))
+    elif not links.isEmpty():
+        found = _merged(scratch, found, links)
+    alike = compared.groupBy("node").agg((F.sum("total") / F.greatest(F.sum("pairs"), F.lit(1))).alias("alike"))
+    return found, scratch.table(alike)
+
+
+def _blocks(rest: DataFrame) -> DataFrame:
+    """(node, rep): a node's members outside its largest component with all members, as blocks.
+
+    Both kinds of members are dealt into chunks, those outside first; a block is two chunks, one
+    of them outside at least.
+    """
+    half = max(1, LEAF // 2)
+    outer = F.ceil((F.col("n") - F.col("m")) / half)
+    inner = F.ceil(F.col("m") / half)
+    outside = F.col("label") != F.col("main")
+    hashed = F.xxhash64("rep", F.lit("chunk"))
+    placed = rest.select(
+        "node", "rep", outside.alias("outside"), outer.alias("outer"), (outer + inner).alias("all"),
+        F.when(outside, F.pmod(hashed, outer)).otherwise(outer + F.pmod(hashed, inner)).alias("c"),
+    )
+    partners = F.sequence(F.lit(0).cast("long"), F.when(F.col("outside"), F.col("all")).otherwise(F.col("outer")) - 1)
+    paired = placed.select("node", "rep", "c", F.explode(partners).alias("other")).filter("c <> other")
+    return paired.select(F.xxhash64("node", F.least("c", "other"), F.greatest("c", "other")).alias("node"), "rep")
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:
@@ -351,8 +454,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         .agg(F.min(F.struct("doc_id", "h")).alias("first"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"), F.min("roots").alias("roots"))
         .select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.h").alias("h"), "n", "sketch", "roots")
     )
-    leaves = _leaves(scratch, items)
-    dealt = leaves.join(items.select("rep", "n", "sketch"), "rep").select("node", "rep", "n", "sketch")
+    leaves, known = _leaves(scratch, texts, items, least, percent)
+    dealt = leaves.join(items.select("rep", "n", "sketch"), "rep")
+    if known is None:
+        dealt = dealt.withColumn("label", F.col("rep"))
+    else:
+        dealt = dealt.join(known.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep"))
+    dealt = dealt.select("node", "rep", "n", "sketch", "label")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sorted_nodes = dealt.repartition(parts, "node").sortWithinPartitions("node", "rep")
     compared = scratch.table(
@@ -365,7 +473,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     tested = scratch.table(edges.distinct())
     links = _confirmed(scratch, texts, items, tested, percent)
     failed = tested.join(links, ["a", "b"], "left_anti")
-    found = scratch.table(components(scratch, links))
+    found = scratch.table(components(scratch, links)) if known is None else _merged(scratch, known, links)
     if not failed.isEmpty():
         more = _second_look(scratch, texts, items, compared, failed, found, least, percent)
         if not more.isEmpty():

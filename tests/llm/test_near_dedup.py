@@ -80,6 +80,27 @@ def test_large_loose_groups(spark, monkeypatch, leaf, heavy, percent):
         assert sum(got[i] == want[i] for i in want) >= 0.97 * len(want)
 
 
+@pytest.mark.parametrize("percent,own_words,edits", [(80, 9, 12), (85, 7, 9)])
+def test_group_of_several_times_a_leaf(spark, monkeypatch, percent, own_words, edits):
+    """Pairs just above the threshold in one group of texts that are much alike, but less than it."""
+    monkeypatch.setattr(near_dedup, "LEAF", 32)
+    rng = random.Random(5)
+    docs = []
+    for f in range(150):
+        text = [f"w{i}" for i in range(600)]
+        for place in rng.sample(range(0, 600, 5), own_words):
+            text[place] = f"f{f}_{place}"
+        docs.append((2 * f, " ".join(text)))
+        for place in rng.sample(range(2, 600, 5), edits):
+            text[place] = f"t{f}_{place}"
+        docs.append((2 * f + 1, " ".join(text)))
+    rng.shuffle(docs)
+    want = brute(docs, percent)
+    assert len({c for _, c in want.values()}) > 100
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows(near_dedup.near_duplicates(df, percent=percent)) == want
+
+
 def test_chain_of_links(spark):
     """Each text is linked with the next alone: a component as long as the chain."""
     words = [f"w{i}" for i in range(400)]
