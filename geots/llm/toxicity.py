@@ -97,10 +97,9 @@ def segments(values: list[float], drift: float) -> list[tuple[int, int, float]]:
     return [(a, b, y - x) for a, b, x, y in stack]
 
 
-def _signature(words: set[str]) -> tuple[int, int]:
-    """Smallest and largest word hash: near copies of a text mostly share both."""
-    hashes = [xxhash.xxh3_64_intdigest(w) >> 1 for w in words]
-    return min(hashes), max(hashes)
+def _signature(words: list[str]) -> bytes:
+    """128-bit hash of a text's sorted words: only texts of the same words share it."""
+    return xxhash.xxh3_128_digest("\n".join(words).encode())
 
 
 def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int) -> DataFrame:
@@ -119,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """A model from the texts of ``docs`` that ``labels`` (key, label 0 or 1) marks.
 
     Rows with a null or another label take no part; a key with several labels counts as toxic if
-    one of them is. Copies and most near copies of a text count once. Without toxic or without
+    one of them is. Texts of the same distinct words count once. Without toxic or without
     clean rows the lexicon is empty and every text gets the share of toxic rows as its score.
     """
     rows = _sample(docs, labels, key, text, label, sample)
@@ -128,14 +127,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             out = []
             for y, t in zip(batch.column("y").to_pylist(), batch.column("t").to_pylist()):
-                words = {w.lower() for w in WORD.findall(t)}
+                words = sorted({w.lower() for w in WORD.findall(t)})
                 if words:
-                    out.append((y, *_signature(words), sorted(words)))
-            columns = list(zip(*out)) if out else ((), (), (), ())
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["y", "low", "high", "words"])
+                    out.append((y, _signature(words), words))
+            columns = list(zip(*out)) if out else ((), (), ())
+            kinds = (pa.int32(), pa.binary(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["y", "words_id", "words"])
 
-    texts = map_batches(rows, distinct_words, "y int, low long, high long, words array<string>").dropDuplicates(["y", "low", "high"])
+    # Rows of one hash hold the same words, so it does not matter which of them stays.
+    texts = map_batches(rows, distinct_words, "y int, words_id binary, words array<string>").dropDuplicates(["y", "words_id"])
     words = texts.select("y", F.explode("words").alias("word")).groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     named = [
         F.concat(F.lit("="), "word"),

@@ -78,3 +78,17 @@ def test_no_labels_and_empty_tables(spark):
     odd = spark.createDataFrame([(1, None), (None, 1), (2, 7)], "doc_id long, toxic int")
     assert toxicity.fit(docs, odd).lexicon == {}
     assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_unlike_texts_that_share_extreme_hashes_are_all_learnt(spark):
+    """Texts with one smallest and one largest word hash in common are no copies."""
+    import xxhash
+
+    pool = sorted((f"w{i}" for i in range(3000)), key=lambda w: xxhash.xxh3_64_intdigest(w) >> 1)
+    low, high, middle = pool[0], pool[-1], pool[1:-1]
+    rng = random.Random(4)
+    clean = [(i, " ".join([low, *rng.sample(middle, 20), high])) for i in range(100)]
+    toxic = [(1000 + i, " ".join([low, *rng.sample(middle, 20), "scoundrel", high])) for i in range(100)]
+    docs = spark.createDataFrame(clean + toxic, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in clean + toxic], "doc_id long, toxic int")
+    assert "=scoundrel" in toxicity.fit(docs, labels).lexicon
