@@ -57,6 +57,8 @@ class Lines(HTMLParser):
         self.containers = 0
         self.text: list[str] = []
         self.tags = self.linked = self.in_link = 0
+        self.inside = 0  # open elements, counted from an excluded one in the middle of a line
+        self.within = ""  # the tag of that one
 
     def state(self) -> tuple[bool, bool, int]:
         return self.stack[-1][1:] if self.stack else (False, False, 0)
@@ -70,6 +72,17 @@ class Lines(HTMLParser):
         self.text.clear()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.inside:
+            if tag not in BLOCKS:
+                self.inside += tag == self.within
+                return
+            # A block inside: the line before it ends, and the excluded element holds what follows.
+            self.end_line()
+            self.stack += [(self.within, True, *self.state()[1:])] * self.inside
+            self.inside = 0
+        elif tag not in BLOCKS and tag not in VOID and not self.state()[0] and self.excludes(tag, dict(attrs), self.state()[1]):
+            self.inside, self.within = 1, tag
+            return
         if tag in BLOCKS:
             self.end_line()
         elif tag in ("br", "td", "th"):
@@ -108,6 +121,13 @@ class Lines(HTMLParser):
         return any(NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
 
     def handle_endtag(self, tag: str) -> None:
+        if self.inside:
+            if tag == self.within:
+                self.inside -= 1
+                return
+            if tag not in BLOCKS:
+                return
+            self.inside = 0
         if tag in BLOCKS:
             self.end_line()
         elif tag in ("td", "th"):
@@ -127,6 +147,8 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.inside:
+            return
         excluded = self.state()[0]
         if excluded and self.stack[-1][0] not in BLOCKS and not self.text:
             return  # scripts, styles and the like inside a block of text

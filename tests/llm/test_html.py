@@ -31,6 +31,14 @@ def test_head_of_the_page_and_of_the_article():
     assert html_extract.main_text(page) == f"A headline of this story\n{LONG}\n{LONG} 2"
 
 
+def test_excluded_elements_in_the_middle_of_a_paragraph():
+    inner = ['<span class="share">x</span>', "<script>x()</script>", "<svg><title>x</title><path/></svg>", "<button>x</button>", "<noscript>x</noscript>", '<iframe src="x"></iframe>', '<i aria-hidden="true">x</i>', '<span class="share">x <span>y</span> z</span>']
+    for x in inner:
+        assert html_extract.main_text(f"<article><p>{LONG} {x} Rest.</p><p>{LONG}</p></article>") == f"{LONG} Rest.\n{LONG}", x
+    page = f"<div><noscript><div>{LONG} no</div> no</noscript><p>{LONG} <button><div>no</div> no</button></p><p>{LONG}</p></div>"
+    assert html_extract.main_text(page) == f"{LONG}\n{LONG}"
+
+
 def test_broken_and_empty_pages():
     assert html_extract.main_text("") == ""
     assert html_extract.main_text("<html><head><title>x</title></head><body></body></html>") == ""
