@@ -44,6 +44,7 @@ HEADS = frozenset("header site-header page-header main-header top-header site_he
 PRIOR = 4.0  # how much more a line in an article or main element counts
 SIGMA, RADIUS = 1.0, 2  # of the Gaussian, in lines
 SHARE = 0.5  # the threshold, in standard deviations of the smoothed ratios
+HOLDS, ALL = 0.5, 0.9  # shares of a page's text from which a name excludes no element, with an article in it and without
 GAP = 2  # lines below the threshold that a region bridges
 
 
@@ -52,16 +53,17 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, int, bool]] = []
-        self.stack: list[tuple[str, bool, bool, int]] = []  # tag, excluded, article, number
-        self.containers = 0
+        self.lines: list[tuple[str, int, int, tuple, int, bool]] = []
+        #: Tag, what excludes (0: markup, else the number of an element by its name), article, number.
+        self.stack: list[tuple[str, tuple, bool, int]] = []
+        self.containers = self.named = 0
         self.text: list[str] = []
         self.tags = self.linked = self.in_link = 0
         self.inside = 0  # open elements, counted from an excluded one in the middle of a line
         self.within = ""  # the tag of that one
 
-    def state(self) -> tuple[bool, bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, False, 0)
+    def state(self) -> tuple[tuple, bool, int]:
+        return self.stack[-1][1:] if self.stack else ((), False, 0)
 
     def end_line(self) -> None:
         words = " ".join("".join(self.text).split())
@@ -78,9 +80,9 @@ class Lines(HTMLParser):
                 return
             # A block inside: the line before it ends, and the excluded element holds what follows.
             self.end_line()
-            self.stack += [(self.within, True, *self.state()[1:])] * self.inside
+            self.stack += [(self.within, (0,), *self.state()[1:])] * self.inside
             self.inside = 0
-        elif tag not in BLOCKS and tag not in VOID and not self.state()[0] and self.excludes(tag, dict(attrs), self.state()[1]):
+        elif tag not in BLOCKS and tag not in VOID and 0 not in self.state()[0] and (self.excludes(tag, dict(attrs), self.state()[1]) or self.is_named(dict(attrs))):
             self.inside, self.within = 1, tag
             return
         if tag in BLOCKS:
@@ -100,12 +102,15 @@ class Lines(HTMLParser):
             if at is not None and self.stack[at][0] in ("nav", "header"):
                 del self.stack[at:]  # an article in a menu: the menu was never closed
         excluded, article, container = self.state()
-        own = self.excludes(tag, dict(attrs), article)
+        own = (0,) if self.excludes(tag, dict(attrs), article) else ()
+        if not own and tag not in ("html", "body") and self.is_named(dict(attrs)):
+            self.named += 1
+            own = (self.named,)
         if own or tag in CONTAINERS or tag in OUTSIDE:
             if tag in CONTAINERS and not article:
                 self.containers += 1
                 container = self.containers
-            self.stack.append((tag, excluded or own, article or tag in CONTENT, container))
+            self.stack.append((tag, excluded + own, article or tag in CONTENT, container))
 
     def excludes(self, tag: str, attrs: dict, article: bool) -> bool:
         if tag in OUTSIDE or tag == "header" and not article:
@@ -118,6 +123,9 @@ class Lines(HTMLParser):
             return False
         if not article and tag not in CONTENT and HEADS & {w.lower() for k in ("class", "id") for w in (attrs.get(k) or "").split()}:
             return True
+        return False
+
+    def is_named(self, attrs: dict) -> bool:
         return any(NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
 
     def handle_endtag(self, tag: str) -> None:
@@ -136,7 +144,7 @@ class Lines(HTMLParser):
         if tag == "a" and self.in_link:
             self.in_link -= 1
         if any(x[0] == tag for x in self.stack):
-            if tag not in BLOCKS and self.stack[-1][1]:
+            if tag not in BLOCKS and 0 in self.stack[-1][1]:
                 self.end_line()
             while self.stack.pop()[0] != tag:
                 pass
@@ -150,7 +158,7 @@ class Lines(HTMLParser):
         if self.inside:
             return
         excluded = self.state()[0]
-        if excluded and self.stack[-1][0] not in BLOCKS and not self.text:
+        if 0 in excluded and self.stack[-1][0] not in BLOCKS and not self.text:
             return  # scripts, styles and the like inside a block of text
         self.text.append(data)
         if self.in_link:
@@ -164,6 +172,20 @@ def smooth(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel, "valid") / weights
 
 
+def _overruled(lines: list[tuple]) -> set[int]:
+    """Elements with a telling name that hold so much of the page's text that they are no side matter."""
+    whole, own, articles = 0, {}, set()
+    for words, _, _, excluded, _, article in lines:
+        if 0 in excluded:
+            continue
+        whole += len(words)
+        for k in set(excluded):
+            own[k] = own.get(k, 0) + len(words)
+            if article:
+                articles.add(k)
+    return {k for k, n in own.items() if n >= (HOLDS if k in articles else ALL) * whole}
+
+
 def main_text(html: str) -> str:
     """The page's content lines, joined by newlines; empty if it has none."""
     parser = Lines()
@@ -171,7 +193,8 @@ def main_text(html: str) -> str:
     parser.close()
     parser.end_line()
     lines = parser.lines
-    usable = np.array([not x[3] for x in lines], bool)
+    overruled = _overruled(lines)
+    usable = np.array([overruled.issuperset(x[3]) for x in lines], bool)
     if not usable.any():
         return ""
     size = np.array([len(x[0]) for x in lines], float)

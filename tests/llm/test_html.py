@@ -39,6 +39,13 @@ def test_excluded_elements_in_the_middle_of_a_paragraph():
     assert html_extract.main_text(page) == f"{LONG}\n{LONG}"
 
 
+def test_wrappers_with_telling_names():
+    side = f'<div class="sidebar"><p>{LONG} side</p></div>'
+    for name in ("content-sidebar-wrap", "layout no-sidebar", "with-sidebar", "nav-open"):
+        article = f"<article><p>{LONG}</p><p>{LONG} 2</p></article>"
+        assert html_extract.main_text(f'<body><div class="{name}">{article}{side}</div></body>') == f"{LONG}\n{LONG} 2", name
+
+
 def test_broken_and_empty_pages():
     assert html_extract.main_text("") == ""
     assert html_extract.main_text("<html><head><title>x</title></head><body></body></html>") == ""
