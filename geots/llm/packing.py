@@ -26,6 +26,10 @@ from .common import map_batches
 
 WINDOW = 2048
 END = 1
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 40_000_000  # words of a worker, some 130 MB, and their characters
+SLICE = 2000  # unseen words that go through the library at once
+STRETCH = 1 << 18  # characters whose words are looked up at once
+OUT_BYTES = 1 << 20  # of ids in a batch of pieces
 
 PIECES = T.StructType(
     [
@@ -44,7 +48,10 @@ class WordEncoder:
     """Token ids of texts, word by word through the tokenizers library.
 
     The vocabulary drops white space and never merges across it, so a text's ids are those of
-    its words, one after the other; a word met before comes from memory, within a bound.
+    its words, one after the other. The ids of words met before stand one after the other in one
+    array; with their words they are forgotten together beyond a bound. Unseen words go through
+    the library some at a time, and texts some characters at a time, so that what is held does
+    not depend on a batch.
     """
 
     def __init__(self, path: str):
@@ -54,19 +61,68 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.index, self.table = Interner(), []
-
-    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
-        index, table = self.index, self.table
+        self._afresh()
+
+    def _afresh(self) -> None:
+        self.index = Interner(REMEMBERED, REMEMBERED_CHARS)
+        self.ids = np.empty(1 << 16, np.uint32)  # of all known words
+        self.ends = np.zeros(1 << 14, np.int64)  # where in them word k's begin, and word k - 1's end
+        self.known = 0
+
+    def _learn(self) -> None:
+        """Encode the words that have no ids yet."""
+        fresh = self.index.fresh
+        for at in range(0, len(fresh), SLICE):
+            words = fresh[at : at + SLICE]
+            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            # A token belongs to the last word that does not begin after it.
+            owner = np.searchsorted(np.cumsum(sizes) - sizes, [a for a, _ in found.offsets], "right") - 1
+            begin, n = int(self.ends[self.known]), self.known + len(words)
+            stops = begin + np.cumsum(np.bincount(owner, minlength=len(words)))
+            self.ids, self.ends = _roomy(self.ids, int(stops[-1])), _roomy(self.ends, n + 1)
+            self.ids[begin : stops[-1]] = found.ids
+            self.ends[self.known + 1 : n + 1] = stops
+            self.known = n
+        fresh.clear()
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of one text."""
+        out = []
         # Cut at these two only: any other white space inside a word is the tokenizer's to drop.
-        coded = [np.fromiter(map(index.__getitem__, t.replace("\n", " ").split(" ")), np.uint32) for t in texts]
-        fresh = self.tokenizer.encode_batch(index.fresh, add_special_tokens=False)
-        table += [np.array(e.ids, "<u4").tobytes() for e in fresh]
-        index.fresh.clear()
-        for words in coded:
-            yield b"".join(map(table.__getitem__, words.tolist()))
-        if index.full():
-            self.index, self.table = Interner(), []
+        for part in _stretches(text.replace("\n", " ")):
+            words = np.fromiter(map(self.index.__getitem__, part.split(" ")), np.int64)
+            self._learn()
+            begin = self.ends[words]
+            size = self.ends[words + 1] - begin
+            before = np.cumsum(size) - size
+            out.append(self.ids[np.repeat(begin - before, size) + np.arange(int(size.sum()))])
+            if self.index.full():
+                self._afresh()
+        return out[0] if len(out) == 1 else np.concatenate(out)
+
+
+def _roomy(array: np.ndarray, size: int) -> np.ndarray:
+    """``array`` with room for ``size`` items; it doubles when it grows."""
+    if size <= len(array):
+        return array
+    grown = np.empty(max(size, 2 * len(array)), array.dtype)
+    grown[: len(array)] = array
+    return grown
+
+
+def _stretches(text: str) -> Iterator[str]:
+    """The text in stretches of whole words, STRETCH characters long as far as blanks allow."""
+    at = 0
+    while len(text) - at > STRETCH:
+        cut = text.rfind(" ", at, at + STRETCH)
+        if cut <= at:
+            cut = text.find(" ", at + STRETCH)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -123,9 +179,9 @@ class Packer:
             while free and rest:
                 doc, start, length, ids, total = rest[-1].pop()
                 take = min(free, length)
-                window.append((doc, start, take, ids[: 4 * take], total))
+                window.append((doc, start, take, ids[:take], total))
                 if take < length:
-                    rest[-1].append((doc, start + take, length - take, ids[4 * take :], total))
+                    rest[-1].append((doc, start + take, length - take, ids[take:], total))
                 if not rest[-1]:
                     rest.pop()
                 free -= take
@@ -139,9 +195,9 @@ class Packer:
                 while room:
                     doc, start, length, ids, total = window.pop(0)
                     take = min(room, length)
-                    part.append((doc, start, take, ids[: 4 * take], total))
+                    part.append((doc, start, take, ids[:take], total))
                     if take < length:
-                        window.insert(0, (doc, start + take, length - take, ids[4 * take :], total))
+                        window.insert(0, (doc, start + take, length - take, ids[take:], total))
                     room -= take
                 yield part
 
@@ -155,46 +211,55 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", wi
     gap. A sequence is full or as long as a power of two. Sequence ids are unique, not gapless.
 
     Edge cases: a null or empty text is the id ``end`` alone; rows that repeat a key are packed
-    each for itself under that key; a null key stays null; an empty table gives no piece.
+    each for itself under that key; a null key stays null; an empty table gives no piece; other
+    columns are not read. What a task holds: one text and its ids, the remembered words, 1 MB of
+    pieces on their way out, and its open windows, of which the rule keeps few.
     """
     docs = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    stop = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = encoder(path), Packer(window)
         sequence = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
+        held = 0
 
         def close(pieces: list) -> None:
-            nonlocal sequence
+            nonlocal sequence, held
             at = 0
             for doc, start, length, ids, total in pieces:
-                rows.append((doc, start, length, total, sequence, at, ids))
+                rows.append((doc, start, length, total, sequence, at, ids.tobytes()))
                 at += length
+            held += 4 * at
             sequence += 1
 
         def out() -> pa.RecordBatch:
+            nonlocal held
             columns = list(zip(*rows)) if rows else [()] * len(PIECES)
             kinds = [*(pa.int64() for _ in range(6)), pa.binary()]
             batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=PIECES.names)
             rows.clear()
+            held = 0
             return batch
 
         for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(keys, words.encode_batch(texts)):
-                ids += stop
-                total = len(ids) // 4
+            keys, texts = batch.column("doc_id"), batch.column("text")
+            for k in range(batch.num_rows):
+                doc, ids = keys[k].as_py(), np.append(words.encode(texts[k].as_py() or ""), np.uint32(end)).astype("<u4", copy=False)
+                total = len(ids)
                 whole = total - total % window
                 for start in range(0, whole, window):
-                    close([(doc, start, window, ids[4 * start : 4 * (start + window)], total)])
-                if whole < total and (full := packer.place((doc, whole, total - whole, ids[4 * whole :], total))):
+                    close([(doc, start, window, ids[start : start + window], total)])
+                    if held > OUT_BYTES:
+                        yield out()
+                # A copy: an open window keeps its own ids alive, not the whole document's.
+                if whole < total and (full := packer.place((doc, whole, total - whole, ids[whole:].copy(), total))):
                     close(full)
-                if len(rows) > 4096:
+                if held > OUT_BYTES:
                     yield out()
         for pieces in packer.finish():
             close(pieces)
+            if held > OUT_BYTES:
+                yield out()
         yield out()
 
     return map_batches(docs, run, PIECES)

@@ -1,15 +1,20 @@
 """op4, op5 and op6 against the tokenizers library."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 from geots.llm import bpe, packing, queries, token_counts
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata/sf0.001"
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -148,3 +153,46 @@ def test_sum_of_squares_rule():
             sums[int(level)] = int((after[1:10] ** 2).sum())
         assert sums[packer.level_for(size)] == min(sums.values())
         packer.place(("x", 0, size, b"", size))
+
+
+def resident_mb(code: str) -> float:
+    """What a fresh worker's resident memory grows by while ``code`` runs on 250,000 distinct words."""
+    script = f"""
+import resource, sys
+sys.path.insert(0, {ROOT!r})
+from geots.llm import bpe, packing
+words = [f"w{{i * 7919 % 1000003}}" for i in range(250_000)]
+texts = [" ".join(words[i : i + 5000]) for i in range(0, len(words), 5000)]
+{code}
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True).stdout
+    return float(out.split()[-1])
+
+
+PEAK = "resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024"
+
+
+def test_memory_of_a_worker_is_bounded_over_a_batch_of_distinct_words():
+    packed = f"e = packing.encoder({WORD!r}); b = {PEAK}\nfor t in texts: e.encode(t)\nprint({PEAK} - b)"
+    coded = f"e = bpe.vocabulary({BYTE!r}); b = {PEAK}\nfor _ in e.encode_batch(texts): pass\nprint({PEAK} - b)"
+    assert resident_mb(packed) < 120
+    assert resident_mb(coded) < 160
+
+
+def test_long_texts_and_clashing_columns(spark):
+    """Texts longer than a stretch, with and without blanks, and columns named like the operators' own."""
+    texts = [f"word{i % 977} é,{i} " * 40_000 for i in range(2)] + ["x" * 300_000 + " y", "a\nb" * 100_000]
+    rows = [(i, t, "k", 1, "t") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, n_tokens int, k string").withColumn("t", F.lit("old"))
+    word, byte = library(WORD), library(BYTE)
+    whole: dict = {}
+    for p in packing.pack(df, WORD).orderBy("start").collect():
+        whole[p["doc_id"]] = whole.get(p["doc_id"], b"") + bytes(p["ids"])
+    assert whole == {i: np.array([*word.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for i, t in enumerate(texts)}
+    both = {r["doc_id"]: r for r in bpe.round_trip(df, BYTE).collect()}
+    counted = {r["doc_id"]: r for r in token_counts.count_tokens(df, BYTE).collect()}
+    for i, t in enumerate(texts):
+        ids = byte.encode(t, add_special_tokens=False).ids
+        assert bytes(both[i]["ids"]) == np.array(ids, "<u4").tobytes() and both[i]["decoded"] == t
+        assert counted[i]["n_tokens"] == len(ids) and counted[i]["ids"] == "k"
+    assert {r["ids"] == "k" for r in bpe.encode(df, BYTE).collect()} == {False}
