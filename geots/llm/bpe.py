@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,11 @@ from pyspark.sql import types as T
 
 from .common import map_batches, with_columns
 
+GROUP_CHARS = 1 << 20  # characters of texts whose pre-tokens stand in one symbol array
+OUT_BYTES = 2 << 20  # of ids and texts in a batch on its way out
+
 #: Pre-tokens that one worker remembers, and their characters; beyond either it starts afresh.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 20_000_000
+REMEMBERED, REMEMBERED_CHARS = 400_000, 16_000_000
 
 # The pre-token pattern of byte-level vocabularies, with Unicode's white space spelled out.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -44,10 +47,11 @@ def byte_symbols() -> list[str]:
 class Interner(dict):
     """Numbers strings as they come; ``fresh`` holds those that have no entry in the table yet."""
 
-    def __init__(self):
+    def __init__(self, words: int = REMEMBERED, chars: int = REMEMBERED_CHARS):
         super().__init__()
         self.fresh: list[str] = []
         self.chars = 0
+        self.bounds = words, chars
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
@@ -56,7 +60,7 @@ class Interner(dict):
         return n
 
     def full(self) -> bool:
-        return len(self) > REMEMBERED or self.chars > REMEMBERED_CHARS
+        return len(self) > self.bounds[0] or self.chars > self.bounds[1]
 
 
 class ByteBpe:
@@ -142,8 +146,18 @@ class ByteBpe:
         stops = (np.cumsum(live)[ends - 1] * 4).tolist()
         return [data[i:j] for i, j in zip([0, *stops], stops)]
 
-    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
+    def encode_batch(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers; some texts are held at a time."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self._encode_group(group)
+                group, size = [], 0
+        yield from self._encode_group(group)
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
         index, table = self.index, self.table
         coded: list = []
         for text in texts:
@@ -199,7 +213,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
+            texts = (t.as_py() or "" for t in batch.column(text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bpe.encode_batch(texts), pa.binary())], names=[*batch.schema.names, into])
 
     return map_batches(docs, run, schema)
@@ -223,10 +237,41 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
     return map_batches(docs, run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, decoded): the token ids of each whole text and the text that they decode to.
+
+    ``encode`` and ``decode`` in one pass over a text. Edge cases are theirs; only the two columns
+    are read, so others may have any name.
+    """
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    schema = T.StructType([T.StructField("k", rows.schema["k"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path)
+        for batch in batches:
+            texts = batch.column("t")
+            ids, told, size, first = [], [], 0, 0
+            for found in bpe.encode_batch(texts[n].as_py() or "" for n in range(batch.num_rows)):
+                ids.append(found)
+                told.append(decoded(found, bpe.id_bytes))
+                size += len(found) + len(told[-1])
+                if size >= OUT_BYTES:
+                    yield part(batch, first, ids, told)
+                    ids, told, size, first = [], [], 0, first + len(ids)
+            yield part(batch, first, ids, told)
+
+    def part(batch: pa.RecordBatch, first: int, ids: list[bytes], told: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("k").slice(first, len(ids)), pa.array(ids, pa.binary()), pa.array(told, pa.string())], names=["k", "ids", "decoded"])
+
+    return map_batches(rows, run, schema).withColumnRenamed("k", key)
+
+
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Token count and the digests of a document's ids and of its decoded text."""
-    coded = encode(docs.select(F.col(key), F.col(text)), path, text).drop(text)
-    coded = coded.select(
-        key, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
+    both = round_trip(docs, path, key, text)
+    return both.select(
+        F.col(key).alias(key),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return decode(coded, path).select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
