@@ -1,11 +1,14 @@
 """Main text of web pages from the standard library's parser events.
 
 The parser's events are turned into lines, one a block of text. Each line has a text-to-tag
-ratio: its characters over the tags seen with it. Lines whose markup says that they are no
-content (menus, footers, forms, adverts, notices, comments, ...) count 0; lines in an article
+ratio: its characters over the tags seen with it. Lines in elements that are no content (menus,
+footers, forms, adverts, notices, comments, ...) and lines of links count 0; lines in an article
 or main element count more. A Gaussian smooths the ratios over the lines, and a threshold on
-the smoothed ratios clusters lines into content and the rest. A content region is the run of
-lines in one container around such lines: it is kept whole, short paragraphs included.
+the smoothed ratios clusters lines into content and the rest. The lines of one container make
+a region, and its mass is the sum of the smoothed ratios of its clustered lines. If the heaviest
+region is an article, the page's content is that article, whole, and other articles of some mass;
+else the clusters outside articles are the content, each filled up between its first and its last
+line in one container, and an article stays only if it has a good part of the heaviest's mass.
 """
 
 from __future__ import annotations
@@ -34,11 +37,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CONTENT = frozenset("article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|footer|masthead|topbar|"
-    r"cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|commentlist|disqus|replies|reply|responses|pagination|pager|widget|toolbar|skip|hidden|sr-only)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|masthead|topbar|"
+    r"cookies?|consent|gdpr|popup|modal|newsletter|subscribe|signup|recommend\w*|"
+    r"comments?|commentlist|disqus|pagination|pager|hidden|sr-only)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Words that tell as much only beside words of layout: in other names they may well mean text.
+WEAK = frozenset("side notice notices overlay login share sharing social related replies reply response responses widget toolbar skip".split())
+LAYOUT = frozenset(
+    "area articles bar block body bottom box btn button buttons col column container content fixed form group header icons inner item items left "
+    "link links list main media module panel posts right row section site slot sticky stories text title tools top wrap wrapper".split()
+)
 #: Class and id words that name a page's own head where no article is open.
 HEADS = frozenset("header site-header page-header main-header top-header site_header page_header top".split())
 PRIOR = 4.0  # how much more a line in an article or main element counts
@@ -46,30 +55,33 @@ SIGMA, RADIUS = 1.0, 2  # of the Gaussian, in lines
 SHARE = 0.5  # the threshold, in standard deviations of the smoothed ratios
 HOLDS, ALL = 0.5, 0.9  # shares of a page's text from which a name excludes no element, with an article in it and without
 GAP = 2  # lines below the threshold that a region bridges
+ARTICLES, BESIDE = 0.1, 0.5  # an article's least share of the heaviest region's mass, if that is an article and if not
+MENU = 3  # so many lines of links in a row are a menu, in an article too
+TEXT = 20  # characters a tag from which a line with a weak name is text
 
 
 class Lines(HTMLParser):
-    """Collects lines: text, tags, characters in links, whether markup excludes it, container, prior."""
+    """Collects lines: text, tags, characters in links, what excludes it, container, prior, weak name."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple, int, bool]] = []
-        #: Tag, what excludes (0: markup, else the number of an element by its name), article, number.
-        self.stack: list[tuple[str, tuple, bool, int]] = []
+        self.lines: list[tuple[str, int, int, tuple, int, bool, bool]] = []
+        #: Tag, what excludes (0: markup, else the number of an element by its name), article, number, weak name.
+        self.stack: list[tuple[str, tuple, bool, int, bool]] = []
         self.containers = self.named = 0
         self.text: list[str] = []
         self.tags = self.linked = self.in_link = 0
         self.inside = 0  # open elements, counted from an excluded one in the middle of a line
         self.within = ""  # the tag of that one
 
-    def state(self) -> tuple[tuple, bool, int]:
-        return self.stack[-1][1:] if self.stack else ((), False, 0)
+    def state(self) -> tuple[tuple, bool, int, bool]:
+        return self.stack[-1][1:] if self.stack else ((), False, 0, False)
 
     def end_line(self) -> None:
         words = " ".join("".join(self.text).split())
         if words:
-            excluded, article, container = self.state()
-            self.lines.append((words, self.tags, self.linked, excluded, container, article))
+            excluded, article, container, weak = self.state()
+            self.lines.append((words, self.tags, self.linked, excluded, container, article, weak))
             self.tags = self.linked = 0
         self.text.clear()
 
@@ -101,16 +113,17 @@ class Lines(HTMLParser):
             at = next((k for k, x in enumerate(self.stack) if x[1]), None)
             if at is not None and self.stack[at][0] in ("nav", "header"):
                 del self.stack[at:]  # an article in a menu: the menu was never closed
-        excluded, article, container = self.state()
+        excluded, article, container, weak = self.state()
         own = (0,) if self.excludes(tag, dict(attrs), article) else ()
         if not own and tag not in ("html", "body") and self.is_named(dict(attrs)):
             self.named += 1
             own = (self.named,)
-        if own or tag in CONTAINERS or tag in OUTSIDE:
+        faint = not own and tag not in ("html", "body") and self.is_faint(dict(attrs))
+        if own or faint or tag in CONTAINERS or tag in OUTSIDE:
             if tag in CONTAINERS and not article:
                 self.containers += 1
                 container = self.containers
-            self.stack.append((tag, excluded + own, article or tag in CONTENT, container))
+            self.stack.append((tag, excluded + own, article or tag in CONTENT, container, weak or faint))
 
     def excludes(self, tag: str, attrs: dict, article: bool) -> bool:
         if tag in OUTSIDE or tag == "header" and not article:
@@ -126,7 +139,11 @@ class Lines(HTMLParser):
         return False
 
     def is_named(self, attrs: dict) -> bool:
-        return any(NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
+        """A telling word in a name, or a weak one with nothing but words of layout beside it."""
+        return any(NAMES.search(attrs.get(k) or "") for k in ("class", "id")) or any(words & WEAK and words <= WEAK | LAYOUT for words in _names(attrs))
+
+    def is_faint(self, attrs: dict) -> bool:
+        return any(words & WEAK for words in _names(attrs))
 
     def handle_endtag(self, tag: str) -> None:
         if self.inside:
@@ -165,6 +182,13 @@ class Lines(HTMLParser):
             self.linked += len(data)
 
 
+def _names(attrs: dict) -> Iterator[set[str]]:
+    """The words of each class and of the id; numbers are left out."""
+    for k in ("class", "id"):
+        for name in (attrs.get(k) or "").lower().split():
+            yield {w for w in re.split(r"[_-]+|\d+", name) if w}
+
+
 def smooth(ratios: np.ndarray) -> np.ndarray:
     kernel = np.exp(-np.square(np.arange(-RADIUS, RADIUS + 1)) / (2 * SIGMA**2))
     padded = np.pad(ratios, RADIUS)
@@ -175,7 +199,7 @@ def smooth(ratios: np.ndarray) -> np.ndarray:
 def _overruled(lines: list[tuple]) -> set[int]:
     """Elements with a telling name that hold so much of the page's text that they are no side matter."""
     whole, own, articles = 0, {}, set()
-    for words, _, _, excluded, _, article in lines:
+    for words, _, _, excluded, _, article, _ in lines:
         if 0 in excluded:
             continue
         whole += len(words)
@@ -199,25 +223,46 @@ def main_text(html: str) -> str:
         return ""
     size = np.array([len(x[0]) for x in lines], float)
     tags = np.array([max(1, x[1]) for x in lines], float)
-    links = np.array([x[2] for x in lines], float)
+    linked = np.array([x[2] for x in lines], float) > size / 2
     prior = np.array([x[5] for x in lines], bool)
-    ratio = np.where(usable, size / tags, 0.0) * np.where(prior, PRIOR, 1.0) * np.where(links > size / 2, 0.0, 1.0)
+    faint = np.array([x[6] for x in lines], bool) & (size / tags < TEXT)
+    usable &= ~faint
+    ratio = np.where(usable & ~linked, size / tags, 0.0) * np.where(prior, PRIOR, 1.0)
     level = smooth(ratio)
     chosen = usable & (level >= SHARE * level.std()) & (level > 0)
-    if (prior & usable).any():  # the page says where its article is: other clusters are no part of it
-        chosen = prior & usable
     container = np.array([x[4] for x in lines])
-    keep = chosen.copy()
-    for c in np.unique(container[chosen]):
-        inside = np.flatnonzero(chosen & (container == c))
-        keep[inside[0] : inside[-1] + 1] |= usable[inside[0] : inside[-1] + 1] & (container[inside[0] : inside[-1] + 1] == c)
-    at = np.flatnonzero(keep)
-    for a, b in zip(at[:-1], at[1:]):
-        if 1 < b - a <= GAP + 1:
-            keep[a + 1 : b] |= usable[a + 1 : b] & (links[a + 1 : b] <= size[a + 1 : b] / 2) & ~prior.any()
+    mass = np.bincount(container[chosen], level[chosen], int(container.max()) + 1)
+    articles = np.zeros(len(mass), bool)
+    articles[container[prior]] = True
+    heaviest = mass.max()
+    if not heaviest:  # nothing but links
+        return "\n".join(lines[k][0] for k in np.flatnonzero(usable & prior))
+    by_article = bool(articles[int(mass.argmax())])
+    kept = articles & (mass >= (ARTICLES if by_article else BESIDE) * heaviest)
+    # Articles that stay, whole but for menus; clusters outside articles, if none outweighs them.
+    keep = kept[container] & prior & usable & ~_menus(linked)
+    if not by_article:
+        chosen &= ~prior
+        keep |= chosen
+        for c in np.unique(container[chosen]):
+            inside = np.flatnonzero(chosen & (container == c))
+            keep[inside[0] : inside[-1] + 1] |= usable[inside[0] : inside[-1] + 1] & (container[inside[0] : inside[-1] + 1] == c)
+        at = np.flatnonzero(keep)
+        for a, b in zip(at[:-1], at[1:]):
+            if 1 < b - a <= GAP + 1:
+                keep[a + 1 : b] |= (usable & ~linked & ~prior)[a + 1 : b]
     return "\n".join(lines[k][0] for k in np.flatnonzero(keep))
 
 
+def _menus(linked: np.ndarray) -> np.ndarray:
+    """Lines that stand in a run of MENU lines of links or more."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], linked.view(np.int8), [0]))))
+    menus = np.zeros(len(linked), bool)
+    for a, b in zip(edges[::2], edges[1::2]):
+        menus[a:b] = b - a >= MENU
+    return menus
+
+
 def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:
     """``pages`` with ``into``: the main text of the whole page.
 

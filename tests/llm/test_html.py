@@ -1,6 +1,7 @@
 """op3: pages whose text is known, and the registered query over whole pages."""
 
 import re
+from collections import Counter
 from html import unescape
 
 from geots.llm import html_extract, queries
@@ -69,14 +70,48 @@ def test_query_returns_the_articles(spark):
     for p in pages:
         html = p["html"] or ""
         inside = re.search(r"<article[^>]*>(.*?)</article>", html, re.S)
-        if not inside or re.search(r"<(script|style|aside|nav|form|div|section|footer|header|table|pre|ul)\b", inside[1]):
-            continue
-        blocks = re.split(r"</?(?:p|h\d|li|blockquote)\b[^>]*>", re.sub(r"<br\s*/?>", " ", re.sub(r"<!--.*?-->", "", inside[1], flags=re.S)))
+        bare = re.sub(r"<!--.*?-->|<(script|style|aside|nav|form|footer)\b.*?</\1>", "", inside[1] if inside else "", flags=re.S)
+        blocks = re.split(r"</?(?:p|h\d|li|ul|ol|blockquote|div|section|pre|table|tr|header)\b[^>]*>", re.sub(r"<br\s*/?>", " ", bare))
         plain = [" ".join(unescape(re.sub(r"</?[a-z][^>]*>", "", b)).split()) for b in blocks]
         assert got[p["page_id"]]["text"] == "\n".join(filter(None, plain)), p["page_id"]
         assert got[p["page_id"]]["n_chars"] == len(got[p["page_id"]]["text"])
 
 
+def test_method_finds_the_text_without_article_tags_and_names(spark):
+    """With article and main tags and all names taken away, ratios and clusters alone find the text."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("html").filter("html is not null").collect()
+    hit = found = wanted = 0
+    for p in pages:
+        want = Counter(html_extract.main_text(p["html"]).split())
+        bare = re.sub(r"</?(?:article|main)\b[^>]*>", "", re.sub(r"""\s(?:class|id)=("[^"]*"|'[^']*'|[^\s>]+)""", "", p["html"]))
+        got = Counter(html_extract.main_text(bare).split())
+        hit, found, wanted = hit + (got & want).total(), found + got.total(), wanted + want.total()
+    assert 2 * hit / (found + wanted) >= 0.97
+
+
+def test_an_article_that_is_a_teaser():
+    """Cards in article elements beside a body in a plain element: the body outweighs them."""
+    cards = "".join(f"<article><h3>Card {i}</h3><p>{LONG}</p></article>" for i in range(3))
+    body = [f"{LONG} {LONG} {LONG} {i}" for i in range(14)]
+    page = f"<body><div id=story>{''.join(f'<p>{b}</p>' for b in body)}</div><div>{cards}</div></body>"
+    assert html_extract.main_text(page).split("\n") == body
+
+
+def test_menu_without_a_name_inside_an_article():
+    links = "".join(f'<li><a href="/{i}">Another story, number {i}</a></li>' for i in range(6))
+    assert html_extract.main_text(f"<article><p>{LONG}</p><ul>{links}</ul><p>{LONG} 2</p></article>") == f"{LONG}\n{LONG} 2"
+    one = f'<article><p>{LONG}</p><p><a href="/x">A paragraph that is one link</a></p><p>{LONG} 2</p></article>'
+    assert html_extract.main_text(one) == f"{LONG}\nA paragraph that is one link\n{LONG} 2"
+
+
+def test_words_that_tell_only_beside_words_of_layout():
+    for name in ("share-price", "side-effects", "notice-of-intent", "widget-economics", "reply-letter"):
+        assert html_extract.main_text(f'<article><p>{LONG}</p><div class="{name}"><p>{LONG} 2</p></div></article>') == f"{LONG}\n{LONG} 2", name
+    for name in ("share", "share-bar", "notice", "notice-box", "widget", "side-box", "social-links", "wp-comments", "acme-sidebar", "related-posts"):
+        assert html_extract.main_text(f'<article><p>{LONG}</p><p>{LONG} 1</p><div class="{name}"><p>{LONG} 2</p></div></article>') == f"{LONG}\n{LONG} 1", name
+    assert html_extract.main_text(f'<article><p>{LONG}</p><div class="share-this-story"><p>Share it</p></div></article>') == LONG
+
+
 def test_nulls_repeats_and_extra_columns(spark):
     df = spark.createDataFrame([(1, None, "old"), (1, "", "old"), (None, f"<p>{LONG}</p>", None)], "page_id long, html string, text string")
     assert sorted(((r["page_id"] or 0), r["text"]) for r in html_extract.extract(df).collect()) == [(0, LONG), (1, ""), (1, "")]
