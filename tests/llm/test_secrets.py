@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import re._parser as parser
+import time
 
+import pytest
 from geots.llm import queries, secret_scan
 
 from oracle import connect, same
@@ -76,13 +79,73 @@ def test_redaction(spark):
     assert got == {1: "a [secret] b [secret]", 2: None, 3: "clean", None: "[secret]"}
 
 
-def test_every_rule_with_literals_has_a_query_that_its_matches_meet():
-    for rule in secret_scan.BASE + secret_scan.EXTRA:
-        for text in fuzz(2000):
-            if secret_scan.trigram_query(rule) and re.search(rule.pattern, text, re.ASCII):
-                low = text.lower()
-                assert all(any(all(t in low for t in word) for word in group) for group in secret_scan.trigram_query(rule))
-    assert not secret_scan.trigram_query(secret_scan.BASE[2])
+def matching(items, rng: random.Random, free: bool = False) -> str:
+    """A random string that the parsed expression matches; ``free``: letters in either case."""
+    out = ""
+    for op, value in items:
+        if op is parser.LITERAL:
+            out += rng.choice([chr(value).lower(), chr(value).upper()]) if free else chr(value)
+        elif op is parser.IN:
+            kind, own = rng.choice(value)
+            out += "Z" if kind is parser.NEGATE or value[0][0] is parser.NEGATE else chr(own) if kind is parser.LITERAL else chr(rng.randint(*own))
+        elif op in (parser.ANY, parser.NOT_LITERAL):
+            out += "Q"
+        elif op is parser.SUBPATTERN:
+            out += matching(value[3], rng, free or bool(value[1] & re.IGNORECASE))
+        elif op is parser.BRANCH:
+            out += matching(rng.choice(value[1]), rng, free)
+        elif op is parser.MAX_REPEAT:
+            out += "".join(matching(value[2], rng, free) for _ in range(rng.randint(value[0], min(value[1], value[0] + 3))))
+    return out
+
+
+CUSTOM = ["(ab|cd)?xyz[0-9]{2}", "a[bc]{1,2}d+efg", "(foo|barbar)(baz|qux)*end", "k.ey", "(?:aa|b)+ccc", "x{3}y?z", "[^a]bcd", "p(q|rs)?tuv"]
+
+
+@pytest.mark.parametrize("rule", [*secret_scan.BASE, *secret_scan.EXTRA, *(secret_scan.Rule("own", p) for p in CUSTOM)], ids=lambda r: r.pattern[:20])
+def test_derived_queries_hold_for_all_matches(rule):
+    rng = random.Random(6)
+    query = secret_scan.trigram_query(rule)
+    texts = fuzz(2000) + [matching(parser.parse(rule.pattern), rng) for _ in range(1000)]
+    met = 0
+    for text in texts:
+        if re.search(rule.pattern, text, re.ASCII):
+            met += 1
+            low = text.lower()
+            assert all(any(all(t in low for t in word) for word in group) for group in query), text
+    assert met > 50
+    assert bool(query) == (rule.kind != "hex" and rule.pattern != "k.ey")
+
+
+def test_derived_words():
+    assert secret_scan.mandatory_words(secret_scan.BASE[0].pattern)[0] == ["api_key", "apikey", "passwd", "password", "secret", "token"]
+    assert secret_scan.mandatory_words("(ab|cd)?xyz[0-9]{2}")[0] == ["xyz"]
+    assert secret_scan.mandatory_words("p(q|rs)?tuv")[0] == ["pqtuv", "prstuv", "ptuv"]
+    assert [r.search for r in secret_scan.BASE[1:]] == ["AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"]
+
+
+def test_long_texts(spark):
+    """A megabyte of prose with some secrets, and one of secrets alone: spans are right and soon there."""
+    prose = "a faded bead cafe decade " * 40_000 + "token=abcdefgh deadbeefdeadbeefdeadbeef"
+    dense = "token=abcdefgh " * 30_000
+    df = spark.createDataFrame([(1, prose), (2, dense)], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r["doc_id"]: [tuple(s) for s in r["found"]] for r in secret_scan.find_secrets(df).collect()}
+    assert got == {i: [s[:3] for s in brute(t)] for i, t in ((1, prose), (2, dense))}
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact_secrets(df).collect()}
+    assert clean == {1: prose[:1_000_000] + "[secret] [secret]", 2: "[secret] " * 30_000}
+    assert time.monotonic() - began < 60
+
+
+def test_columns_with_clashing_names(spark):
+    names = ["doc_id", "text", "m_hex", "g_assign", "c_pem", "found", "row", "c", "hash", "id", "r", "body", "key", "m0", "g0", "kept", "new", "__id", "a.b"]
+    df = spark.createDataFrame([(1, "x token=abcdefgh", *range(17))], names)
+    got = secret_scan.find_secrets(df)
+    assert got.columns == [n for n in names if n != "found"] + ["found"]
+    row = got.first()
+    assert list(row)[:-1] == [1, "x token=abcdefgh", *(k for k in range(17) if k != 3)] and [tuple(s) for s in row["found"]] == [(2, 0, 16)]
+    cut = secret_scan.redact_secrets(df)
+    assert cut.columns == names and list(cut.first()) == [1, "x [secret]", *range(17)]
 
 
 def test_repeated_rows_empty_table_and_plan(spark):
