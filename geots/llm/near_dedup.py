@@ -430,11 +430,12 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, text_hash) for every row of ``docs``.
 
     Two documents are linked if the Jaccard similarity of their shingle sets is at least
     ``percent``/100; ``component_id`` is the smallest id that links reach, and the document of
-    that id is ``kept``.
+    that id is ``kept``. ``text_hash`` (xxhash64 of the text, of the empty one for null) tells rows
+    of one key apart.
 
     Edge cases: null and empty texts, and texts without words, have no shingles and stand alone;
     a row with a null key stands alone with a null component and is kept; rows that repeat a key
@@ -480,11 +481,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
             found = _merged(scratch, found, more)
     roots = found.select(F.col("id").alias("rep"), "root")
     of_set = scratch.table(items.select("set_id", "rep").join(roots, "rep", "left").select("set_id", F.coalesce("root", "rep").alias("component_id")))
-    joined = described.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
+    own = ["doc_id", "n_shingles", "set_id", "h"]
+    # Documents without words stand alone: they need no join, in which they would all meet at null.
+    worded = described.filter("set_id is not null").select(own).join(of_set, "set_id", "left")
+    joined = worded.unionByName(described.filter("set_id is null").select(*own, F.lit(None).cast("long").alias("component_id")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
-    )
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), F.col("h").alias("text_hash"))
 
 
 def _merged(scratch: Scratch, found: DataFrame, more: DataFrame) -> DataFrame:

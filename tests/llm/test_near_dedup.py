@@ -115,7 +115,7 @@ def test_edge_cases(spark):
     df = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, h string, n int")
     got = near_dedup.near_duplicates(df)
     assert rows(got) == brute(docs, 85)
-    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept", "text_hash"]
     assert rows(got)[9] == (2, 7) and rows(got)[10] == (1, 10)
 
 

@@ -1,6 +1,10 @@
 """The pipeline: each stage on its own input, against brute force."""
 
+import zlib
+
 import corpus_pipeline
+import numpy as np
+import public_tokenizers
 import pytest
 from geots.llm.common import table
 
@@ -8,7 +12,7 @@ from test_lines import brute as cut_lines
 from test_near_dedup import brute as groups
 from test_secrets import brute as secrets
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -33,8 +37,7 @@ def test_order_and_columns(stages):
 
 
 def test_toxic_documents_go_and_clean_ones_stay(spark):
-    """Over the larger table: the smallest has nine toxic documents to learn from."""
-    folder = "/root/testdata/sf0.01"
+    folder = SF
     label = {r["doc_id"]: r["toxic"] for r in table(spark, folder, "labels").collect()}
     docs = table(spark, folder, "documents")
     before = {r["doc_id"] for r in docs.select("doc_id").collect()}
@@ -79,10 +82,50 @@ def test_every_document_is_packed(stages):
     assert all(sum(p["length"] for p in ps) == ps[0]["doc_tokens"] for ps in tokens.values())
 
 
-def test_run_gives_the_stages_rows(spark, stages):
-    whole = corpus_pipeline.run(spark, SF).collect()
-    assert {(r["doc_id"], r["doc_tokens"]) for r in whole} == {(r["doc_id"], r["doc_tokens"]) for r in stages[4][2]}
-    assert sum(r["length"] for r in whole) == sum(r["length"] for r in stages[4][2])
+def test_end_to_end_against_brute_force(spark, stages):
+    """From what toxicity kept to the last piece, with plain Python and the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    _, before, after, _ = stages[0]
+    assert len(after) < len(before)
+    texts = {i: t for i, (t, n) in cut_lines([(r["doc_id"], r["text"]) for r in after]).items() if not n or t.strip()}
+    placed = groups(list(texts.items()), 80)
+    want = {}
+    for i in (i for i, (_, root) in placed.items() if i == root):
+        text, out, at = texts[i] or "", [], 0
+        for a, _, b, _ in secrets(text):
+            if a >= at:
+                out += [text[at:a], "[secret]"]
+            at = max(at, b)
+        want[i] = [*library.encode("".join(out) + text[at:], add_special_tokens=False).ids, 1]
+    pieces: dict = {}
+    for r in corpus_pipeline.run(spark, SF).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert set(pieces) == set(want)
+    for i, ids in want.items():
+        at = 0
+        for p in sorted(pieces[i], key=lambda p: p["start"]):
+            assert p["start"] == at and p["doc_tokens"] == len(ids)
+            at += p["length"]
+            assert p["ids_crc32"] == zlib.crc32(np.array(ids[p["start"] : at], "<u4").tobytes())
+        assert at == len(ids)
+
+
+def test_a_repeated_key_loses_only_the_text_that_is_a_copy(spark):
+    a, b = "one text of seven words for this", "another text that nothing else is like here"
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) AS long) AS n_chars")
+    assert {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()} == {(1, a), (2, b)}
+
+
+def test_empty_table_passes_all_stages(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+    assert docs.count() == 0
 
 
 def test_odd_documents_pass_all_stages(spark):
