@@ -23,31 +23,54 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.
+
+    Null and empty texts score what a text without evidence does, and stay; a null key is scored
+    like any other; repeated rows stay or go together; without labels of both kinds, and from an
+    empty table, nothing goes. Only ``COLUMNS`` are handed on.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out()))
     return toxicity.score(docs, model).filter("predicted = 0").select(*COLUMNS)
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three repeated lines go; a document that loses all its text goes."""
+    """Later occurrences of three repeated lines go; a document that loses all its text goes.
+
+    Null and empty texts, and rows with a null key, stay as they are; rows that repeat key and
+    text are cut alike; rows that repeat a key with another text are documents of their own; an
+    empty table gives an empty one.
+    """
     cut = line_dedup.dedup_lines(docs)
     return _documents(cut.filter((F.col("lines_removed") == 0) | (F.trim("text") != "")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Texts without words (null and empty ones too) and rows with a null key stay; rows that repeat
+    key and text stay or go together; of rows that repeat a key with other texts each goes only
+    for its own text; an empty table gives an empty one.
+    """
     groups = near_dedup.near_duplicates(docs, percent=80)
-    gone = groups.filter("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
+    gone = groups.filter("not kept").select("doc_id", "text_hash").distinct()
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return hashed.join(gone.hint("merge"), ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts become a mark; no document goes."""
+    """Secrets in the texts become a mark; no document goes.
+
+    Null texts stay null, and rows with a null key and repeated rows are treated as any other.
+    """
     return _documents(secret_scan.redact_secrets(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens in sequences."""
+    """Pieces of the documents' tokens in sequences.
+
+    A null or empty text is the end token alone; repeated rows are packed each for itself; a null
+    key stays null; an empty table gives no piece.
+    """
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
