@@ -36,6 +36,7 @@ LEAF = 2048  # items of a node that is compared exhaustively
 DEPTH = 8  # split levels, two paths at each; larger nodes below are compared block by block
 PIVOTS = 32  # members of a large node, on average, that all its members are compared with
 ALIKE = 0.5  # mean similarity from which dealing a node again costs more than its blocks
+MOSTLY = 0.5  # share of a node's members in one component from which only the others are looked at
 SIGMAS = 3.6  # how far below the threshold a sketch may fall by chance
 HEAVY = 4_000_000  # shingles of a node's members beyond which its candidates are confirmed pair by pair
 
@@ -320,49 +321,82 @@ def _confirm(percent: int):
     return run
 
 
+def _labelled(items: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``items`` with ``label``: the component that each belongs to so far, or the item itself."""
+    if found is None:
+        return items.withColumn("label", F.col("rep"))
+    return items.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
+
+
+def _held(level: DataFrame) -> DataFrame:
+    """``level`` (node, rep, label) with each node's number of members ``n`` and one of them.
+
+    Nodes that are one component already hold nothing to find and are left out.
+    """
+    counts = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return level.join(counts.filter("n > 1 and low < high").select("node", "n", "pivot"), "node")
+
+
+def _main(big: DataFrame) -> DataFrame:
+    """(node, main, m, mostly): each node's largest component, its members, and whether they are most of the node."""
+    sizes = big.groupBy("node", "label").agg(F.count(F.lit(1)).alias("m"))
+    of_node = sizes.groupBy("node").agg(F.max(F.struct("m", "label")).alias("most"), F.sum("m").alias("all"))
+    open_nodes = of_node.filter("most.m < all")
+    return open_nodes.select("node", F.col("most.label").alias("main"), F.col("most.m").alias("m"), (F.col("most.m") >= MOSTLY * F.col("all")).alias("mostly"))
+
+
 def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """(node, rep): members of all nodes and blocks that are compared exhaustively, over all trees.
 
     With them comes (id, root), the components that the pivots of large nodes have found.
     """
-    tree = items.select("rep", F.posexplode("roots").alias("tree", "token"))
-    level = tree.select(F.xxhash64("tree", "token").alias("node"), "rep")
-    leaves, found, sketches = None, None, items.select("rep", F.col("n").alias("size"), "sketch")
+    leaves, found = None, None
+    # The first tree's large nodes go ahead: of a group that they make one component, the other
+    # trees' nodes then hold only the rest.
+    for trees in (1, TREES):
+        dealt = _labelled(items, found).select("rep", "label", F.posexplode(F.slice("roots", 1, trees)).alias("tree", "token"))
+        level = dealt.select(F.xxhash64("tree", "token").alias("node"), "rep", "label")
+        if trees == 1:
+            big = scratch.table(_held(level).filter(F.col("n") > LEAF))
+            if not big.isEmpty():
+                found, _ = _contracted(scratch, texts, items, big, found, least, percent)
     for depth in range(DEPTH + 1):
-        counts = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).filter("n > 1")
-        held = scratch.table(level.join(counts, "node").select("node", "rep", "n", "pivot"))
+        held = scratch.table(_held(level))
         done = held.filter(F.col("n") <= LEAF).select("node", "rep")
         leaves = done if leaves is None else leaves.unionByName(done)
         big = held.filter(F.col("n") > LEAF)
         if big.isEmpty():
             break
         found, alike = _contracted(scratch, texts, items, big, found, least, percent)
-        labelled = big.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").select("node", "rep", "n", F.coalesce("root", "rep").alias("label"))
-        # The largest component of each node; a node that is one component has nothing left to find.
-        sizes = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("m"))
-        main = sizes.groupBy("node").agg(F.max(F.struct("m", "label")).alias("most"), F.sum("m").alias("all"))
-        open_nodes = main.filter("most.m < all").join(alike, "node").select("node", F.col("most.label").alias("main"), F.col("most.m").alias("m"), "alike")
-        rest = scratch.table(labelled.join(open_nodes, "node"))
-        tight = F.lit(True) if depth == DEPTH else F.col("alike") >= ALIKE
+        now = _labelled(items, found)
+        labelled = big.select("node", "rep", "n").join(now.select("rep", "label", "sketch"), "rep")
+        rest = scratch.table(labelled.join(_main(labelled).join(alike, "node", "left"), "node"))
+        tight = F.lit(True) if depth == DEPTH else F.col("mostly") | (F.coalesce("alike", F.lit(1.0)) >= ALIKE)
         leaves = leaves.unionByName(_blocks(rest.filter(tight)))
         loose = rest.filter(~tight)
         if loose.isEmpty():
             break
-        chosen = loose.select("node", "rep", F.explode(F.array(F.lit(0), F.lit(1))).alias("fork")).join(sketches, "rep")
+        chosen = loose.select("node", "rep", "label", "sketch", F.explode(F.array(F.lit(0), F.lit(1))).alias("fork"))
         place = F.pmod(F.xxhash64("node", "fork", F.lit("place")), F.lit(SKETCH)).cast("int")
         byte = F.expr("substring(sketch, place + 1, 1)")
-        level = scratch.table(chosen.withColumn("place", place).select(F.xxhash64("node", "fork", byte).alias("node"), "rep"))
+        level = scratch.table(chosen.withColumn("place", place).select(F.xxhash64("node", "fork", byte).alias("node"), "rep", "label"))
     return leaves, found
 
 
 def _contracted(
     scratch: Scratch, texts: DataFrame, items: DataFrame, big: DataFrame, found: DataFrame | None, least: float, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """``found`` with the confirmed links of large nodes' members and pivots, and (node, alike)."""
+    """``found`` with the confirmed links of large nodes' members and pivots, and (node, alike).
+
+    Of a node that is mostly one component only the others meet the pivots.
+    """
+    known = scratch.table(_main(big))
+    big = big.join(known.select("node", "main", "mostly"), "node", "left")
     parts = F.ceil(F.col("n") / (LEAF // 2))
     pivots = big.filter((F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / PIVOTS)) == 0) | (F.col("rep") == F.col("pivot")))
     spread = pivots.select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("p"), F.lit(1).alias("pivot"))
-    own = big.select("node", "rep", F.pmod(F.xxhash64("rep", F.lit("part")), parts).alias("p"), F.lit(0).alias("pivot"))
+    others = big.filter(~F.coalesce(F.col("mostly") & (F.col("label") == F.col("main")), F.lit(False)))
+    own = others.select("node", "rep", F.pmod(F.xxhash64("rep", F.lit("part")), parts).alias("p"), F.lit(0).alias("pivot"))
     dealt = own.unionByName(spread).join(items.select("rep", "n", "sketch"), "rep")
     dealt = dealt.select(F.xxhash64("node", "p").alias("part"), "node", "rep", "n", "sketch", "pivot")
     tasks = max(1, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -386,19 +420,23 @@ def _contracted(
 
 
 def _blocks(rest: DataFrame) -> DataFrame:
-    """(node, rep): a node's members outside its largest component with all members, as blocks.
+    """(node, rep): members outside their node's largest component with all members, as blocks.
 
-    Both kinds of members are dealt into chunks, those outside first; a block is two chunks, one
-    of them outside at least.
+    Nodes with one largest component are one node here, whose members come once: trees find a
+    group again and again, and what is outside it in any of them is compared with it once. Both
+    kinds of members are dealt into chunks, those outside first; a block is two chunks, one of
+    them outside at least.
     """
     half = max(1, LEAF // 2)
-    outer = F.ceil((F.col("n") - F.col("m")) / half)
-    inner = F.ceil(F.col("m") / half)
     outside = F.col("label") != F.col("main")
+    members = rest.groupBy("main", "rep").agg(F.max(outside).alias("outside"))
+    sizes = members.groupBy("main").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("out"))
+    outer = F.ceil(F.col("out") / half)
+    inner = F.ceil((F.col("n") - F.col("out")) / half)
     hashed = F.xxhash64("rep", F.lit("chunk"))
-    placed = rest.select(
-        "node", "rep", outside.alias("outside"), outer.alias("outer"), (outer + inner).alias("all"),
-        F.when(outside, F.pmod(hashed, outer)).otherwise(outer + F.pmod(hashed, inner)).alias("c"),
+    placed = members.join(sizes, "main").select(
+        F.xxhash64("main", F.lit("blocks")).alias("node"), "rep", "outside", outer.alias("outer"), (outer + inner).alias("all"),
+        F.when(F.col("outside"), F.pmod(hashed, outer)).otherwise(outer + F.pmod(hashed, inner)).alias("c"),
     )
     partners = F.sequence(F.lit(0).cast("long"), F.when(F.col("outside"), F.col("all")).otherwise(F.col("outer")) - 1)
     paired = placed.select("node", "rep", "c", F.explode(partners).alias("other")).filter("c <> other")
@@ -456,12 +494,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         .select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.h").alias("h"), "n", "sketch", "roots")
     )
     leaves, known = _leaves(scratch, texts, items, least, percent)
-    dealt = leaves.join(items.select("rep", "n", "sketch"), "rep")
-    if known is None:
-        dealt = dealt.withColumn("label", F.col("rep"))
-    else:
-        dealt = dealt.join(known.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep"))
-    dealt = dealt.select("node", "rep", "n", "sketch", "label")
+    dealt = leaves.join(_labelled(items, known).select("rep", "n", "sketch", "label"), "rep").select("node", "rep", "n", "sketch", "label")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sorted_nodes = dealt.repartition(parts, "node").sortWithinPartitions("node", "rep")
     compared = scratch.table(
