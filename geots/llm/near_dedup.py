@@ -37,6 +37,7 @@ DEPTH = 8  # split levels, two paths at each; larger nodes below are compared bl
 PIVOTS = 32  # members of a large node, on average, that all its members are compared with
 ALIKE = 0.5  # mean similarity from which dealing a node again costs more than its blocks
 MOSTLY = 0.5  # share of a node's members in one component from which only the others are looked at
+AHEAD = 3  # trees whose large nodes meet pivots before the others are dealt
 SIGMAS = 3.6  # how far below the threshold a sketch may fall by chance
 HEAVY = 4_000_000  # shingles of a node's members beyond which its candidates are confirmed pair by pair
 
@@ -345,21 +346,30 @@ def _main(big: DataFrame) -> DataFrame:
     return open_nodes.select("node", F.col("most.label").alias("main"), F.col("most.m").alias("m"), (F.col("most.m") >= MOSTLY * F.col("all")).alias("mostly"))
 
 
-def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float, percent: int) -> tuple[DataFrame, DataFrame | None]:
+def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """(node, rep): members of all nodes and blocks that are compared exhaustively, over all trees.
 
-    With them comes (id, root), the components that the pivots of large nodes have found.
+    With them come the items with their labels, and (id, root), the components behind these that
+    the pivots of large nodes have found.
     """
-    leaves, found = None, None
-    # The first tree's large nodes go ahead: of a group that they make one component, the other
-    # trees' nodes then hold only the rest.
-    for trees in (1, TREES):
-        dealt = _labelled(items, found).select("rep", "label", F.posexplode(F.slice("roots", 1, trees)).alias("tree", "token"))
-        level = dealt.select(F.xxhash64("tree", "token").alias("node"), "rep", "label")
-        if trees == 1:
-            big = scratch.table(_held(level).filter(F.col("n") > LEAF))
-            if not big.isEmpty():
-                found, _ = _contracted(scratch, texts, items, big, found, least, percent)
+
+    def dealt(now: DataFrame, trees: int) -> DataFrame:
+        rows = now.select("rep", "label", F.posexplode(F.slice("roots", 1, trees)).alias("tree", "token"))
+        return rows.select(F.xxhash64("tree", "token").alias("node"), "rep", "label")
+
+    def pivoted(big: DataFrame) -> DataFrame:
+        nonlocal found, now
+        found, alike = _contracted(scratch, texts, items, big, found, least, percent)
+        now = scratch.table(_labelled(items, found))
+        return alike
+
+    found, now = None, _labelled(items, None)
+    # The large nodes of some trees go ahead: of a group that they make one component, the other
+    # trees' nodes then hold little else to look at.
+    big = scratch.table(_held(dealt(now, AHEAD)).filter(F.col("n") > LEAF))
+    if not big.isEmpty():
+        pivoted(big)
+    leaves, level = None, dealt(now, TREES)
     for depth in range(DEPTH + 1):
         held = scratch.table(_held(level))
         done = held.filter(F.col("n") <= LEAF).select("node", "rep")
@@ -367,11 +377,16 @@ def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float,
         big = held.filter(F.col("n") > LEAF)
         if big.isEmpty():
             break
-        found, alike = _contracted(scratch, texts, items, big, found, least, percent)
-        now = _labelled(items, found)
-        labelled = big.select("node", "rep", "n").join(now.select("rep", "label", "sketch"), "rep")
-        rest = scratch.table(labelled.join(_main(labelled).join(alike, "node", "left"), "node"))
-        tight = F.lit(True) if depth == DEPTH else F.col("mostly") | (F.coalesce("alike", F.lit(1.0)) >= ALIKE)
+        main = scratch.table(_main(big))
+        # A node that is mostly one component is compared with what else it holds; others meet pivots.
+        leaves = leaves.unionByName(_blocks(big.join(main.filter("mostly"), "node")))
+        mixed = big.join(main.filter("not mostly").select("node"), "node", "left_semi")
+        if mixed.isEmpty():
+            break
+        alike = pivoted(mixed)
+        labelled = mixed.select("node", "rep", "n").join(now.select("rep", "label", "sketch"), "rep")
+        rest = scratch.table(labelled.join(_main(labelled).join(alike, "node"), "node"))
+        tight = F.lit(True) if depth == DEPTH else F.col("mostly") | (F.col("alike") >= ALIKE)
         leaves = leaves.unionByName(_blocks(rest.filter(tight)))
         loose = rest.filter(~tight)
         if loose.isEmpty():
@@ -380,23 +395,17 @@ def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float,
         place = F.pmod(F.xxhash64("node", "fork", F.lit("place")), F.lit(SKETCH)).cast("int")
         byte = F.expr("substring(sketch, place + 1, 1)")
         level = scratch.table(chosen.withColumn("place", place).select(F.xxhash64("node", "fork", byte).alias("node"), "rep", "label"))
-    return leaves, found
+    return leaves, now, found
 
 
 def _contracted(
     scratch: Scratch, texts: DataFrame, items: DataFrame, big: DataFrame, found: DataFrame | None, least: float, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """``found`` with the confirmed links of large nodes' members and pivots, and (node, alike).
-
-    Of a node that is mostly one component only the others meet the pivots.
-    """
-    known = scratch.table(_main(big))
-    big = big.join(known.select("node", "main", "mostly"), "node", "left")
+    """``found`` with the confirmed links of large nodes' members and pivots, and (node, alike)."""
     parts = F.ceil(F.col("n") / (LEAF // 2))
     pivots = big.filter((F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / PIVOTS)) == 0) | (F.col("rep") == F.col("pivot")))
     spread = pivots.select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("p"), F.lit(1).alias("pivot"))
-    others = big.filter(~F.coalesce(F.col("mostly") & (F.col("label") == F.col("main")), F.lit(False)))
-    own = others.select("node", "rep", F.pmod(F.xxhash64("rep", F.lit("part")), parts).alias("p"), F.lit(0).alias("pivot"))
+    own = big.select("node", "rep", F.pmod(F.xxhash64("rep", F.lit("part")), parts).alias("p"), F.lit(0).alias("pivot"))
     dealt = own.unionByName(spread).join(items.select("rep", "n", "sketch"), "rep")
     dealt = dealt.select(F.xxhash64("node", "p").alias("part"), "node", "rep", "n", "sketch", "pivot")
     tasks = max(1, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -493,8 +502,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         .agg(F.min(F.struct("doc_id", "h")).alias("first"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"), F.min("roots").alias("roots"))
         .select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.h").alias("h"), "n", "sketch", "roots")
     )
-    leaves, known = _leaves(scratch, texts, items, least, percent)
-    dealt = leaves.join(_labelled(items, known).select("rep", "n", "sketch", "label"), "rep").select("node", "rep", "n", "sketch", "label")
+    leaves, now, known = _leaves(scratch, texts, items, least, percent)
+    dealt = leaves.join(now.select("rep", "n", "sketch", "label"), "rep").select("node", "rep", "n", "sketch", "label")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sorted_nodes = dealt.repartition(parts, "node").sortWithinPartitions("node", "rep")
     compared = scratch.table(
