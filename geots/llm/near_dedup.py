@@ -547,10 +547,13 @@ def _merged(scratch: Scratch, found: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def _texts_of(scratch: Scratch, texts: DataFrame, items: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, text) of the items ``reps`` (rep, distinct); no other text moves."""
+    """(rep, text) of the items ``reps`` (rep, distinct), a written table whose size the planner knows.
+
+    Below its bound for broadcasts no text moves to be found; beyond it, texts meet the items by a shuffle.
+    """
     wanted = scratch.table(reps.join(items.select("rep", "h"), "rep"))
     return (
-        texts.join(wanted.withColumnRenamed("rep", "doc_id").hint("merge"), ["doc_id", "h"])
+        texts.join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "h"])
         .dropDuplicates(["doc_id", "h"])
         .select(F.col("doc_id").alias("rep"), "text")
     )
