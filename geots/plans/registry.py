@@ -206,10 +206,10 @@ def p37(spark, d):
     return _parts(spark, d).select("p_partkey", r6(value, "ndvi"))
 
 
-@query("p38_day_tile_bounds", PART + "SELECT p_partkey FROM q WHERE day >= DATE '2022-01-22' AND day < DATE '2022-01-24' AND mask = 4 AND x BETWEEN 500100 AND 502000")
+@query("p38_day_tile_bounds", PART + "SELECT p_partkey FROM q WHERE day >= DATE '2022-01-22' AND day < DATE '2022-01-24' AND mask = 2 AND x BETWEEN 500100 AND 502000")
 def p38(spark, d):
     day = F.col("day")
-    return _parts(spark, d).filter((day >= F.lit(dt.date(2022, 1, 22))) & (day < F.lit(dt.date(2022, 1, 24))) & (F.col("mask") == 4) & F.col("x").between(500100, 502000)).select("p_partkey")
+    return _parts(spark, d).filter((day >= F.lit(dt.date(2022, 1, 22))) & (day < F.lit(dt.date(2022, 1, 24))) & (F.col("mask") == 2) & F.col("x").between(500100, 502000)).select("p_partkey")
 
 
 # Geometry, grid, projection ---------------------------------------------------------------------
@@ -703,21 +703,25 @@ def o15(spark, d):
     return compare.unmatched_days(*bridge.sides(spark, d)).select("plot_id", day_text(), "status", "local_valid_pts", "gee_valid_pts", r6("local_mean"), r6("gee_mean"))
 
 
-_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in (1, 4, 7, 10)]
+ONE = ", p AS (SELECT plot_id, point_id, month, arg_min(mean, tile_no) FILTER (mean IS NOT NULL) AS m FROM stats GROUP BY 1, 2, 3)"
 
 
 def _wide(spark, d):
-    return monthly.wide(monthly.across_tiles(_stats(spark, d), "tile_no"), "mean", _MONTHS)
+    """The wide table of means and its months: all that the observations have, as in a run."""
+    seen = bridge.observations(spark, d)
+    months = sorted(r["month"] for r in monthly.months(seen).collect())
+    return monthly.wide(monthly.across_tiles(_stats(spark, d), "tile_no"), "mean", months), months
 
 
-@query("o17_pivot", OBS + "SELECT plot_id, point_id, " + ", ".join(f"""round(max(CASE WHEN month = '{m}' THEN m END), 6) AS "{m}" """ for m in _MONTHS) + " FROM (SELECT plot_id, point_id, month, arg_min(mean, tile_no) FILTER (mean IS NOT NULL) AS m FROM stats GROUP BY 1, 2, 3) GROUP BY 1, 2")
+@query("o17_pivot", OBS + ONE + ", r AS (SELECT plot_id, point_id, month, round(m, 6) AS m FROM p) PIVOT r ON month USING max(m) GROUP BY plot_id, point_id")
 def o17(spark, d):
-    return _wide(spark, d).select("plot_id", "point_id", *(rounded(F.col(f"`{m}`")).alias(m) for m in _MONTHS))
+    table, months = _wide(spark, d)
+    return table.select("plot_id", "point_id", *(rounded(F.col(f"`{m}`")).alias(m) for m in months))
 
 
-@query("o16_unpivot", OBS + ", p AS (SELECT plot_id, point_id, month, arg_min(mean, tile_no) FILTER (mean IS NOT NULL) AS m FROM stats GROUP BY 1, 2, 3) SELECT plot_id, point_id, k.month, round(p.m, 6) AS ndvi FROM (SELECT DISTINCT plot_id, point_id FROM p) CROSS JOIN (SELECT unnest([" + ", ".join(f"'{m}'" for m in _MONTHS) + "]) AS month) k LEFT JOIN p USING (plot_id, point_id, month)")
+@query("o16_unpivot", OBS + ONE + " SELECT plot_id, point_id, k.month, round(p.m, 6) AS ndvi FROM (SELECT DISTINCT plot_id, point_id FROM p) CROSS JOIN (SELECT DISTINCT month FROM p) k LEFT JOIN p USING (plot_id, point_id, month)")
 def o16(spark, d):
-    return monthly.long(_wide(spark, d), _MONTHS).select("plot_id", "point_id", "month", r6("ndvi"))
+    return monthly.long(*_wide(spark, d)).select("plot_id", "point_id", "month", r6("ndvi"))
 
 
 @query("o18_plot_matrix", OBS + "SELECT plot_id, CAST(day AS VARCHAR) AS day, string_agg(CAST(point_id AS VARCHAR), ',' ORDER BY point_id) AS points, round(sum(v * (point_id + 1)), 6) AS mixed FROM loc GROUP BY 1, 2")
