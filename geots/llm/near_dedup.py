@@ -2,10 +2,11 @@
 
 A document is the set of its word shingles. Equal sets are one item at once. Items enter
 independent trees: a tree's root level deals them by one minwise token. Members of a node that
-holds many items are first linked with a sample of its members. A node that this makes one
-component is done; a node of items little alike is dealt again by further minwise tokens, chosen
-by the node itself, along two paths at every level; of a node of items much alike, those outside
-its largest component are compared with all others, block by block. Nodes small enough and blocks
+holds holds many items are first linked with a sample of its members, in a few trees ahead. A node that
+this makes one component is done; a node of items little alike is dealt again by further minwise
+tokens, chosen by the node itself, along two paths at every level; large nodes of items much alike
+meet a sample of their members too, and those outside a node's largest component are compared with
+all others, block by block. Nodes small enough and blocks
 are compared exhaustively on sketches of the minwise tokens; pairs that may reach the threshold
 are candidates. Of a node's candidates between components only a
 spanning forest is confirmed first, on the full sets; where a confirmation fails, the full sets of
@@ -34,10 +35,11 @@ TREES = 12
 SKETCH = 256  # minwise tokens of an item, one byte each
 LEAF = 2048  # items of a node that is compared exhaustively
 DEPTH = 8  # split levels, two paths at each; larger nodes below are compared block by block
+MARKS = 8  # minwise tokens that tell how much alike the members of a large node are
 PIVOTS = 32  # members of a large node, on average, that all its members are compared with
 ALIKE = 0.5  # mean similarity from which dealing a node again costs more than its blocks
 MOSTLY = 0.5  # share of a node's members in one component from which only the others are looked at
-AHEAD = 3  # trees whose large nodes meet pivots before the others are dealt
+AHEAD = 3  # trees whose large nodes meet pivots before all trees are dealt
 SIGMAS = 3.6  # how far below the threshold a sketch may fall by chance
 HEAVY = 4_000_000  # shingles of a node's members beyond which its candidates are confirmed pair by pair
 
@@ -169,10 +171,7 @@ def _by_label(labels: list[int]) -> list[int]:
 
 
 def _pivot_edges(least: float, percent: int):
-    """For each part of a large node: a spanning forest over candidates of a member and a pivot.
-
-    With it come the sum of their similarities and the number of pairs.
-    """
+    """For each part of a large node: a spanning forest over candidates of a member and a pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "part"):
@@ -183,11 +182,10 @@ def _pivot_edges(least: float, percent: int):
                 ids, sizes, sketch = own.column("rep").to_numpy(), own.column("n").to_numpy(), _matrix(own.column("sketch"))
                 pivot = own.column("pivot").to_numpy()
                 members, pivots = np.flatnonzero(pivot == 0), np.flatnonzero(pivot == 1)
-                ii, jj, nn, total, pairs = [], [], [], 0.0, 0
+                ii, jj, nn = [], [], []
                 for p in pivots.tolist():
                     others = members[ids[members] != ids[p]]
                     same = np.count_nonzero(sketch[others] == sketch[p], axis=1)
-                    total, pairs = total + float(same.sum()) / SKETCH, pairs + len(others)
                     at = (same >= least) & (100 * sizes[others] >= percent * sizes[p]) & (100 * sizes[p] >= percent * sizes[others])
                     ii.append(np.full(int(at.sum()), p)), jj.append(others[at]), nn.append(same[at])
                 parent, left, right = _by_label(ids.tolist()), [], []
@@ -197,10 +195,9 @@ def _pivot_edges(least: float, percent: int):
                         if a != b:
                             parent[max(a, b)] = min(a, b)
                             left.append(int(ids[x])), right.append(int(ids[y]))
-                out.append((own.column("node")[0].as_py(), left, right, total, pairs))
+                out.append((left, right))
             columns = list(zip(*out))
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.float64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["node", "left", "right", "total", "pairs"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64())) for c in columns], names=["left", "right"])
 
     return run
 
@@ -329,13 +326,15 @@ def _labelled(items: DataFrame, found: DataFrame | None) -> DataFrame:
     return items.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
 
 
-def _held(level: DataFrame) -> DataFrame:
+def _held(scratch: Scratch, level: DataFrame) -> DataFrame:
     """``level`` (node, rep, label) with each node's number of members ``n`` and one of them.
 
-    Nodes that are one component already hold nothing to find and are left out.
+    Nodes that are one component already hold nothing to find and are left out. The nodes are a
+    table, so that the planner sends it to the members where it is small.
     """
     counts = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"))
-    return level.join(counts.filter("n > 1 and low < high").select("node", "n", "pivot"), "node")
+    nodes = scratch.table(counts.filter("n > 1 and low < high").select("node", "n", "pivot"))
+    return scratch.table(level.join(nodes, "node"))
 
 
 def _main(big: DataFrame) -> DataFrame:
@@ -346,6 +345,13 @@ def _main(big: DataFrame) -> DataFrame:
     return open_nodes.select("node", F.col("most.label").alias("main"), F.col("most.m").alias("m"), (F.col("most.m") >= MOSTLY * F.col("all")).alias("mostly"))
 
 
+def _alike(marked: DataFrame) -> DataFrame:
+    """(node, alike): the share of a node's pairs that agree in a place of ``marks``, over all its members."""
+    each = marked.select("node", "marks", F.explode(F.sequence(F.lit(1), F.lit(MARKS))).alias("k"))
+    counts = each.groupBy("node", "k", F.expr("substring(marks, k, 1)").alias("byte")).agg(F.count(F.lit(1)).cast("double").alias("c"))
+    return counts.groupBy("node").agg((MARKS * F.sum(F.col("c") * F.col("c")) / (F.sum("c") * F.sum("c"))).alias("alike"))
+
+
 def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """(node, rep): members of all nodes and blocks that are compared exhaustively, over all trees.
 
@@ -357,75 +363,68 @@ def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float,
         rows = now.select("rep", "label", F.posexplode(F.slice("roots", 1, trees)).alias("tree", "token"))
         return rows.select(F.xxhash64("tree", "token").alias("node"), "rep", "label")
 
-    def pivoted(big: DataFrame) -> DataFrame:
-        nonlocal found, now
-        found, alike = _contracted(scratch, texts, items, big, found, least, percent)
-        now = scratch.table(_labelled(items, found))
-        return alike
+    def joined(one: DataFrame | None, other: DataFrame) -> DataFrame:
+        return other if one is None else one.unionByName(other)
 
     found, now = None, _labelled(items, None)
     # The large nodes of some trees go ahead: of a group that they make one component, the other
     # trees' nodes then hold little else to look at.
-    big = scratch.table(_held(dealt(now, AHEAD)).filter(F.col("n") > LEAF))
+    big = _held(scratch, dealt(now, AHEAD)).filter(F.col("n") > LEAF)
     if not big.isEmpty():
-        pivoted(big)
-    leaves, level = None, dealt(now, TREES)
+        found = _contracted(scratch, texts, items, big, found, least, percent)
+        now = scratch.table(_labelled(items, found))
+    leaves, pool, level = None, None, dealt(now, TREES)
     for depth in range(DEPTH + 1):
-        held = scratch.table(_held(level))
-        done = held.filter(F.col("n") <= LEAF).select("node", "rep")
-        leaves = done if leaves is None else leaves.unionByName(done)
+        held = _held(scratch, level)
+        leaves = joined(leaves, held.filter(F.col("n") <= LEAF).select("node", "rep"))
         big = held.filter(F.col("n") > LEAF)
         if big.isEmpty():
             break
+        places = [F.pmod(F.xxhash64("node", F.lit(k), F.lit("place")), F.lit(SKETCH)).cast("int") + 1 for k in range(MARKS)]
+        marks = F.concat(*(F.substring("sketch", place, F.lit(1)) for place in places))
         main = scratch.table(_main(big))
-        # A node that is mostly one component is compared with what else it holds; others meet pivots.
-        leaves = leaves.unionByName(_blocks(big.join(main.filter("mostly"), "node")))
-        mixed = big.join(main.filter("not mostly").select("node"), "node", "left_semi")
-        if mixed.isEmpty():
-            break
-        alike = pivoted(mixed)
-        labelled = mixed.select("node", "rep", "n").join(now.select("rep", "label", "sketch"), "rep")
-        rest = scratch.table(labelled.join(_main(labelled).join(alike, "node"), "node"))
-        tight = F.lit(True) if depth == DEPTH else F.col("mostly") | (F.col("alike") >= ALIKE)
-        leaves = leaves.unionByName(_blocks(rest.filter(tight)))
-        loose = rest.filter(~tight)
+        marked = scratch.table(
+            big.join(main.select("node", "mostly"), "node").join(items.select("rep", "sketch"), "rep").select("node", "rep", "label", "n", "pivot", "mostly", marks.alias("marks"))
+        )
+        # A node that is mostly one component, or of items much alike, waits for the blocks.
+        alike = scratch.table(_alike(marked))
+        known = marked.join(alike, "node")
+        stays = F.lit(True) if depth == DEPTH else F.col("mostly") | (F.col("alike") >= ALIKE)
+        pool = joined(pool, known.filter(stays).select("node", "rep", "n", "pivot", "mostly"))
+        loose = known.filter(~stays)
         if loose.isEmpty():
             break
-        chosen = loose.select("node", "rep", "label", "sketch", F.explode(F.array(F.lit(0), F.lit(1))).alias("fork"))
-        place = F.pmod(F.xxhash64("node", "fork", F.lit("place")), F.lit(SKETCH)).cast("int")
-        byte = F.expr("substring(sketch, place + 1, 1)")
-        level = scratch.table(chosen.withColumn("place", place).select(F.xxhash64("node", "fork", byte).alias("node"), "rep", "label"))
+        forks = loose.select("node", "rep", "label", "marks", F.explode(F.array(F.lit(1), F.lit(2))).alias("fork"))
+        level = scratch.table(forks.select(F.xxhash64("node", "fork", F.expr("substring(marks, fork, 1)")).alias("node"), "rep", "label"))
+    if pool is not None:
+        pool = scratch.table(pool)
+        mixed = pool.filter("not mostly")
+        if not mixed.isEmpty():
+            found = _contracted(scratch, texts, items, mixed, found, least, percent)
+            now = scratch.table(_labelled(items, found))
+        labelled = scratch.table(pool.select("node", "rep").join(now.select("rep", "label"), "rep"))
+        leaves = joined(leaves, _blocks(labelled.join(scratch.table(_main(labelled)), "node")))
     return leaves, now, found
 
 
-def _contracted(
-    scratch: Scratch, texts: DataFrame, items: DataFrame, big: DataFrame, found: DataFrame | None, least: float, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """``found`` with the confirmed links of large nodes' members and pivots, and (node, alike)."""
+def _contracted(scratch: Scratch, texts: DataFrame, items: DataFrame, big: DataFrame, found: DataFrame | None, least: float, percent: int) -> DataFrame:
+    """``found`` with the confirmed links of large nodes' members and pivots."""
     parts = F.ceil(F.col("n") / (LEAF // 2))
     pivots = big.filter((F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / PIVOTS)) == 0) | (F.col("rep") == F.col("pivot")))
     spread = pivots.select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("p"), F.lit(1).alias("pivot"))
     own = big.select("node", "rep", F.pmod(F.xxhash64("rep", F.lit("part")), parts).alias("p"), F.lit(0).alias("pivot"))
     dealt = own.unionByName(spread).join(items.select("rep", "n", "sketch"), "rep")
     dealt = dealt.select(F.xxhash64("node", "p").alias("part"), "node", "rep", "n", "sketch", "pivot")
-    tasks = max(1, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    compared = scratch.table(
-        map_batches(
-            dealt.repartition(tasks, "part").sortWithinPartitions("part", "rep"),
-            _pivot_edges(least, percent),
-            "node long, left array<long>, right array<long>, total double, pairs long",
-        )
+    compared = map_batches(
+        dealt.repartition("part").sortWithinPartitions("part", "rep"), _pivot_edges(least, percent), "left array<long>, right array<long>"
     )
     edges = compared.select(F.explode(F.arrays_zip("left", "right")).alias("e")).select(
         F.least("e.left", "e.right").alias("a"), F.greatest("e.left", "e.right").alias("b")
     )
     links = _confirmed(scratch, texts, items, scratch.table(edges.distinct()), percent)
     if found is None:
-        found = scratch.table(components(scratch, links))
-    elif not links.isEmpty():
-        found = _merged(scratch, found, links)
-    alike = compared.groupBy("node").agg((F.sum("total") / F.greatest(F.sum("pairs"), F.lit(1))).alias("alike"))
-    return found, scratch.table(alike)
+        return scratch.table(components(scratch, links))
+    return found if links.isEmpty() else _merged(scratch, found, links)
 
 
 def _blocks(rest: DataFrame) -> DataFrame:
@@ -489,8 +488,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     are each placed by their own text (a key's texts count as one document where they stand for
     their sets); an empty table gives an empty one. Other columns are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = Scratch(docs.sparkSession, "near")
     least = SKETCH * (percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / SKETCH) ** 0.5)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     described = scratch.table(
@@ -504,8 +502,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
     leaves, now, known = _leaves(scratch, texts, items, least, percent)
     dealt = leaves.join(now.select("rep", "n", "sketch", "label"), "rep").select("node", "rep", "n", "sketch", "label")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sorted_nodes = dealt.repartition(parts, "node").sortWithinPartitions("node", "rep")
+    sorted_nodes = dealt.repartition("node").sortWithinPartitions("node", "rep")
     compared = scratch.table(
         map_batches(sorted_nodes, _leaf_edges(least, percent), "node long, left array<long>, right array<long>, members array<long>, sizes array<long>, sketches binary")
     )
@@ -601,8 +598,7 @@ def _second_look(
         map_batches(labelled.filter(shingles_held <= HEAVY), _open_members(least, percent), "node long, rep long, n long, sketch binary, label long")
     )
     own = map_batches(_texts_of(scratch, texts, items, members.select("rep").distinct()), _sets, "rep long, shingles binary")
-    parts = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = members.join(own, "rep").repartition(parts, "node").sortWithinPartitions("node", "rep")
+    dealt = members.join(own, "rep").repartition("node").sortWithinPartitions("node", "rep")
     links = scratch.table(map_batches(dealt, _exact_links(least, percent), "a long, b long").distinct())
     heavy = labelled.filter(shingles_held > HEAVY)
     if heavy.isEmpty():
