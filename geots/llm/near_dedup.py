@@ -59,7 +59,7 @@ class _Words(dict):
     """64-bit hashes of words met in this worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -106,6 +106,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, ids, sketches, roots = zip(*rows) if rows else ((), (), (), ())
         arrays = [batch.column("doc_id"), batch.column("h"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(sketches, pa.binary()), pa.array(roots, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "n_shingles", "set_id", "sketch", "roots"])
+    _words.clear()  # a worker lives on, and its memory is other stages' too
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
@@ -319,11 +320,9 @@ def _confirm(percent: int):
     return run
 
 
-def _labelled(items: DataFrame, found: DataFrame | None) -> DataFrame:
+def _labelled(items: DataFrame, found: DataFrame) -> DataFrame:
     """``items`` with ``label``: the component that each belongs to so far, or the item itself."""
-    if found is None:
-        return items.withColumn("label", F.col("rep"))
-    return items.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
+    return items.drop("label").join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
 
 
 def _held(scratch: Scratch, level: DataFrame) -> DataFrame:
@@ -361,21 +360,25 @@ def _leaves(scratch: Scratch, texts: DataFrame, items: DataFrame, least: float,
 
     def dealt(now: DataFrame, trees: int) -> DataFrame:
         rows = now.select("rep", "label", F.posexplode(F.slice("roots", 1, trees)).alias("tree", "token"))
-        return rows.select(F.xxhash64("tree", "token").alias("node"), "rep", "label")
+        # Counted and then joined: written, so that items are dealt once.
+        return scratch.table(rows.select(F.xxhash64("tree", "token").alias("node"), "rep", "label"))
 
     def joined(one: DataFrame | None, other: DataFrame) -> DataFrame:
         return other if one is None else one.unionByName(other)
 
-    found, now = None, _labelled(items, None)
+    found, now = None, items
     # The large nodes of some trees go ahead: of a group that they make one component, the other
     # trees' nodes then hold little else to look at.
-    big = _held(scratch, dealt(now, AHEAD)).filter(F.col("n") > LEAF)
+    ahead = dealt(now, AHEAD)
+    big = _held(scratch, ahead).filter(F.col("n") > LEAF)
+    scratch.drop(ahead)
     if not big.isEmpty():
         found = _contracted(scratch, texts, items, big, found, least, percent)
         now = scratch.table(_labelled(items, found))
     leaves, pool, level = None, None, dealt(now, TREES)
     for depth in range(DEPTH + 1):
         held = _held(scratch, level)
+        scratch.drop(level)
         leaves = joined(leaves, held.filter(F.col("n") <= LEAF).select("node", "rep"))
         big = held.filter(F.col("n") > LEAF)
         if big.isEmpty():
@@ -498,7 +501,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     items = scratch.table(
         sets.groupBy("set_id")
         .agg(F.min(F.struct("doc_id", "h")).alias("first"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"), F.min("roots").alias("roots"))
-        .select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.h").alias("h"), "n", "sketch", "roots")
+        .select("set_id", F.col("first.doc_id").alias("rep"), F.col("first.doc_id").alias("label"), F.col("first.h").alias("h"), "n", "sketch", "roots")
     )
     leaves, now, known = _leaves(scratch, texts, items, least, percent)
     dealt = leaves.join(now.select("rep", "n", "sketch", "label"), "rep").select("node", "rep", "n", "sketch", "label")

@@ -202,13 +202,15 @@ class Packer:
                 yield part
 
 
-def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END, remember: bool = True) -> DataFrame:
     """The pieces of all documents of ``docs`` with their places in sequences of ``window`` tokens.
 
     A document's ids are those of its whole text and then ``end``. One row a piece: its document,
     where in the document's ids it starts, its length, the document's number of ids, its sequence,
     its offset there, and its ids (little-endian unsigned 32-bit). Offsets in a sequence have no
     gap. A sequence is full or as long as a power of two. Sequence ids are unique, not gapless.
+    Unless ``remember``, a worker forgets vocabulary and words at a task's end, and other stages
+    of a job have that memory.
 
     Edge cases: a null or empty text is the id ``end`` alone; rows that repeat a key are packed
     each for itself under that key; a null key stays null; an empty table gives no piece; other
@@ -261,5 +263,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", wi
             if held > OUT_BYTES:
                 yield out()
         yield out()
+        if not remember:
+            _encoders.clear()
 
     return map_batches(docs, run, PIECES)
