@@ -71,7 +71,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is the end token alone; repeated rows are packed each for itself; a null
     key stays null; an empty table gives no piece.
     """
-    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # The workers serve all stages, so that the words of this one are not kept.
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remember=False)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
