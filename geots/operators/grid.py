@@ -60,8 +60,8 @@ def grid(plots: DataFrame, key: str = "plot_id", spacing: float = 10, start: str
     """(key, point_id, x, y): grid points strictly inside each plot's ``parts`` (metres).
 
     Points are numbered from 0 within a plot: by part, then y, then x. A plot that holds no grid
-    point has no row. Each row of a part is generated by a scan line; only the rows' counts are
-    summed along a plot, so a plot of any size spreads over tasks.
+    point has no row. Each row of a part is generated by a scan line; the rows' counts are summed
+    along a plot in one task, which holds the rows of one plot with their positions.
     """
     part = plots.select(key, F.posexplode("parts").alias("part", "rings"))
     part = part.select(key, "part", geometry.polygon_edges(F.col("rings")).alias("edges"), geometry.bounds(F.flatten("rings")).alias("b"))
