@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, html_extract, line_dedup, matroska, near_dedup, packing, secret_scan, token_counts, topk, toxicity
+from . import bpe, html_extract, language, line_dedup, matroska, near_dedup, packing, secret_scan, spelling, token_counts, topk, toxicity, whitening
 from .common import table
 
 
@@ -153,6 +153,26 @@ FROM documents d LEFT JOIN g USING (doc_id)
 """
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with the variant that each is taken for."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading components of all distinct vectors."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return whitening.whiten(rows).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    bucket = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    profiles = language.fit(docs.filter(bucket != 2))
+    told = language.predict(docs.select("doc_id", "text"), profiles)
+    return told.select("doc_id", F.coalesce(bucket == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_toxicity": op2_toxicity,
@@ -164,6 +184,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_whitening": op12_whitening,
+    "op13_language_id": op13_language_id,
 }
 ORACLE_SQL = {
     "op1_top_k": OP1_SQL,
