@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import shared_dir
+
 
 def materialised(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``; one is set only where there is none
-    (tests on one machine).
+    The folder is the session's ``spark.checkpoint.dir``; one is made only where there is none on
+    one machine, and a cluster without it is an error.
     """
     context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="geots-"))
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 

@@ -692,10 +692,20 @@ def o13(spark, d):
     return compare.matched_days(*bridge.sides(spark, d)).select(day_text())
 
 
-@query("o14_still_unmatched", "SELECT CAST(0 AS BIGINT) AS n")
+@query("o14_still_unmatched", OBS + """, matched AS (SELECT day FROM pd GROUP BY day HAVING bool_and((lc > 0) = (rc > 0)))
+SELECT count(*) FILTER ((lc > 0) <> (rc > 0)) AS n_before, count(*) FILTER ((lc > 0) <> (rc > 0) AND day IN (SELECT day FROM matched)) AS n_after,
+       count(*) FILTER (day IN (SELECT day FROM matched)) AS n_kept FROM pd""")
 def o14(spark, d):
-    """Days that are unmatched after the filter: none."""
-    return compare.unmatched_days(*compare.matched_only(*bridge.sides(spark, d))).agg(F.count(F.lit(1)).alias("n"))
+    """Plots' days that one source lacks, before the filter and after it, and the days that stay."""
+    left, right = bridge.sides(spark, d)
+    kept = compare.matched_only(left, right)
+    counted = {
+        "n_before": compare.unmatched_days(left, right),
+        "n_after": compare.unmatched_days(*kept),
+        "n_kept": kept[0].select("plot_id", "day").union(kept[1].select("plot_id", "day")).distinct(),
+    }
+    each = [rows.select(*(F.lit(int(name == n)).alias(n) for n in counted)) for name, rows in counted.items()]
+    return each[0].union(each[1]).union(each[2]).agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in counted))
 
 
 @query("o15_unmatched_report", OBS + "SELECT plot_id, CAST(day AS VARCHAR) AS day, CASE WHEN lc > 0 THEN 'local_only' ELSE 'gee_only' END AS status, CAST(lc AS BIGINT) AS local_valid_pts, CAST(rc AS BIGINT) AS gee_valid_pts, round(lm, 6) AS local_mean, round(rm, 6) AS gee_mean FROM pd WHERE (lc > 0) <> (rc > 0)")
@@ -707,19 +717,25 @@ ONE = ", p AS (SELECT plot_id, point_id, month, arg_min(mean, tile_no) FILTER (m
 
 
 def _wide(spark, d):
-    """The wide table of means and its months: all that the observations have, as in a run."""
-    seen = bridge.observations(spark, d)
-    months = sorted(r["month"] for r in monthly.months(seen).collect())
+    """The wide table of means and its months: those of all scenes, cloudy ones included, as in a run."""
+    days = bridge.table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"))
+    months = sorted(r["month"] for r in monthly.months(days).collect())
     return monthly.wide(monthly.across_tiles(_stats(spark, d), "tile_no"), "mean", months), months
 
 
-@query("o17_pivot", OBS + ONE + ", r AS (SELECT plot_id, point_id, month, round(m, 6) AS m FROM p) PIVOT r ON month USING max(m) GROUP BY plot_id, point_id")
+EVERY = ONE + ", k AS (SELECT DISTINCT strftime(day, '%Y-%m') AS month FROM obs), f AS (SELECT plot_id, point_id, k.month, p.m FROM (SELECT DISTINCT plot_id, point_id FROM p) CROSS JOIN k LEFT JOIN p USING (plot_id, point_id, month))"
+
+
+@query("o17_pivot", OBS + EVERY + """ SELECT plot_id, point_id, count(*) AS n_months, string_agg(month, ',' ORDER BY month) AS months,
+string_agg(coalesce(CAST(CAST(floor(m * CAST(1000000 AS DOUBLE) + CAST(0.5001 AS DOUBLE)) AS BIGINT) AS VARCHAR), '-'), ',' ORDER BY month) AS millionths FROM f GROUP BY 1, 2""")
 def o17(spark, d):
+    """A row of the wide table, its columns in order: their names, and their values in millionths."""
     table, months = _wide(spark, d)
-    return table.select("plot_id", "point_id", *(rounded(F.col(f"`{m}`")).alias(m) for m in months))
+    values = [F.coalesce(F.floor(F.col(f"`{m}`") * F.lit(1e6) + F.lit(0.5001)).cast("string"), F.lit("-")) for m in months]
+    return table.select("plot_id", "point_id", F.lit(len(months)).cast("long").alias("n_months"), F.lit(",".join(months)).alias("months"), F.concat_ws(",", *values).alias("millionths"))
 
 
-@query("o16_unpivot", OBS + ONE + " SELECT plot_id, point_id, k.month, round(p.m, 6) AS ndvi FROM (SELECT DISTINCT plot_id, point_id FROM p) CROSS JOIN (SELECT DISTINCT month FROM p) k LEFT JOIN p USING (plot_id, point_id, month)")
+@query("o16_unpivot", OBS + EVERY + " SELECT plot_id, point_id, month, round(m, 6) AS ndvi FROM f")
 def o16(spark, d):
     return monthly.long(*_wide(spark, d)).select("plot_id", "point_id", "month", r6("ndvi"))
 

@@ -19,7 +19,8 @@ def plain(value):
 
 
 def same(df, db: duckdb.DuckDBPyConnection, sql: str) -> None:
-    found = db.execute(sql)
+    db.execute(f"CREATE OR REPLACE TEMP VIEW oracle AS {sql}")  # the SQL must stand as a view
+    found = db.execute("SELECT * FROM oracle")
     names = [c[0] for c in found.description]
     assert sorted(names) == sorted(df.columns)
     want = Counter(tuple(map(plain, r)) for r in found.fetchall())
