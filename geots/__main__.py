@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .config import Config
 from .operators import grid
 from .plans import run
-from .sources import sinks, tables
+from .sources import sinks, tables, vector
 
 
 def parser() -> argparse.ArgumentParser:
@@ -31,10 +31,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def polygon_files(spark: SparkSession, folder: str) -> list[str]:
-    """The Parquet files of a folder, sorted; an error where there is none."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = [f.getPath() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
-    names = sorted(p.toString() for p in found if p.getName().endswith(".parquet"))
+    """The polygon files of a folder: Parquet, then GeoPackages, then shapefiles; an error where there is none."""
+    names = tables.parquet_files(spark, folder) + ([] if "://" in folder else vector.listed(folder))
     if not names:
         raise SystemExit(f"no polygon file in {folder}")
     return names

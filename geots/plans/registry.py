@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions import crs, geometry, raster, text
+from ..functions import crs, geometry, raster, text, wkb
 from ..operators import compare, grid, monthly, order, sampling, spatial
-from ..sources import archive
+from ..sources import archive, geotiff, tables
 from ..streaming import scenes as streaming
-from . import bridge, run
+from . import bridge, files, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -316,6 +316,20 @@ def f11(spark, d):
     return bridge.plots(spark, d).select("plot_id", r6(c["x"], "x"), r6(c["y"], "y"), r6(geometry.area(F.col("parts")), "area"))
 
 
+@query("s2_vector_folder", BOX + """
+SELECT CASE plot_id % 3 WHEN 0 THEN 'gpkg' WHEN 1 THEN 'shp' ELSE 'parquet' END AS kind, plot_id, CASE WHEN plot_id % 3 = 2 THEN NULL ELSE 32647 END AS epsg,
+       CAST(count(*) AS BIGINT) AS n_parts, round(sum(w * h - CASE WHEN hole THEN 100 ELSE 0 END), 6) AS area FROM part GROUP BY 1, 2, 3""")
+def s2(spark, d):
+    """A folder of GeoPackages, shapefiles and a Parquet table, written from the plots and read as one table."""
+    path, plots = files.folder(spark, "polygons"), bridge.plots(spark, d)
+    files.write_packages(plots.filter("plot_id % 3 = 0"), path, 32647)
+    files.write_shapes(plots.filter("plot_id % 3 = 1"), path, 'PROJCS["WGS_1984_UTM_Zone_47N",GEOGCS["GCS_WGS_1984"]]')
+    plots.filter("plot_id % 3 = 2").select("plot_id", wkb.encoded("parts").alias("geometry")).write.parquet(f"{path}/table.parquet")
+    found = grid.polygons(tables.polygon_folder(spark, path))
+    kind = F.when(F.col("file").endswith(".gpkg"), "gpkg").when(F.col("file").endswith(".shp"), "shp").otherwise("parquet")
+    return found.select(kind.alias("kind"), F.col("attributes")["plot_id"].cast("long").alias("plot_id"), "epsg", F.size("parts").cast("long").alias("n_parts"), r6(geometry.area(F.col("parts")), "area"))
+
+
 @query("f12_bounds", BOX + "SELECT plot_id, min(x0) AS xmin, min(y0) AS ymin, max(x0 + w) AS xmax, max(y0 + h) AS ymax FROM part GROUP BY 1")
 def f12(spark, d):
     return bridge.plots(spark, d).select("plot_id", geometry.bounds(geometry.vertices(F.col("parts"))).alias("b")).select("plot_id", "b.*")
@@ -383,6 +397,25 @@ def j8(spark, d):
     return fine.join(coarse, "mx").select("p_partkey", "mx", "mask")
 
 
+@query("s15_geotiff_pixels", RASTER + "SELECT tile, plot_id, point_id, CAST(day AS VARCHAR) AS day, round(v, 6) AS ndvi FROM val")
+def s15(spark, d):
+    """As j7, from GeoTIFF files: directories to a table of blocks, of which those with points are read."""
+    points, scenes, _, about = _raster(spark, d)
+    epsg, nodata = 32647, 3999
+    listed = files.write_rasters(bridge.pixels(spark, d), files.folder(spark, "rasters"), BLOCK, (bridge.GX, bridge.GY), (bridge.GW, bridge.GH), epsg, nodata)
+    found = order.materialised(geotiff.index(order.materialised(listed), BLOCK))
+    own = geotiff.meta(found)
+    blocks = geotiff.blocks(geotiff.needed(found, points, own, BLOCK, list(bridge.BANDS)), BLOCK)
+    return sampling.observations(points, scenes, blocks, own, CONFIG).select("tile", "plot_id", "point_id", day_text(), r6("ndvi"))
+
+
+@query("s14_raster_meta", f"SELECT r_regionkey AS tile, band, CAST({bridge.GX} AS DOUBLE) AS gx, CAST({bridge.GW} AS DOUBLE) AS gw, CAST({bridge.GY} AS DOUBLE) AS gy, CAST({bridge.GH} AS DOUBLE) AS gh, {bridge.NX} AS nx, {bridge.NY} AS ny, CAST(3999 AS DOUBLE) AS nodata, 32647 AS epsg FROM region, (SELECT unnest(['mask', 'nir', 'red']) AS band)")
+def s14(spark, d):
+    """Place, reference system and no-data value of every tile's bands, from the files' directories."""
+    listed = files.write_rasters(bridge.pixels(spark, d), files.folder(spark, "rasters"), BLOCK, (bridge.GX, bridge.GY), (bridge.GW, bridge.GH), 32647, 3999)
+    return geotiff.meta(geotiff.index(order.materialised(listed), BLOCK))
+
+
 @query("a10_clear_counts", RASTER + "SELECT tile, scene_id, CAST(count(*) AS BIGINT) AS n_points, CAST(count(*) FILTER (mask = 0) AS BIGINT) AS n_clear FROM seen GROUP BY 1, 2")
 def a10(spark, d):
     points, _, blocks, meta = _raster(spark, d)
@@ -774,6 +807,15 @@ def f8(spark, d):
     return bridge.table(spark, d, "customer").select("c_custkey", F.regexp_extract(path, r"_(\d+)\.parquet$", 1).cast("long").alias("plot_id"))
 
 
+@query("s19_plot_files", OBS + """, top AS (SELECT tile_no, plot_id, point_id, strftime(day, '%Y-%m') AS month, max(v) AS v FROM ndvi GROUP BY 1, 2, 3, 4),
+f AS (SELECT tile_no, plot_id, month, avg(v) AS v FROM top GROUP BY 1, 2, 3) SELECT plot_id, month, round(max(v), 6) AS v FROM f GROUP BY 1, 2""")
+def s19(spark, d):
+    """Monthly values of plots from a folder with a file a plot and tile, each with columns of its own days."""
+    path = files.folder(spark, "plots")
+    files.write_plot_files(bridge.observations(spark, d), path)
+    return tables.plot_file_months(spark, path).select("plot_id", "month", r6("v"))
+
+
 @query("st1_windowed_scenes", OBS + "SELECT plot_id, strftime(make_timestamp(CAST(floor(epoch(day) / 2592000) AS BIGINT) * 2592000000000), '%Y-%m-%d') AS window_start, round(avg(v), 6) AS mean, round(min(v), 6) AS min, round(max(v), 6) AS max, CAST(count(v) AS BIGINT) AS n FROM ndvi WHERE v IS NOT NULL GROUP BY 1, 2")
 def st1(spark, d):
     """The streaming aggregation over the whole table at once; tests run it as a stream."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,3 +34,17 @@ def mounted(path: str) -> str:
     if "://" in path:
         raise ValueError(f"{path} is not mounted: this format is read by offsets in files that driver and executors can open")
     return path
+
+
+#: Bytes of an Arrow batch: what a Python worker holds at once, beside the longest value.
+BATCH_BYTES = 8 << 20
+
+
+def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` in batches of bounded bytes, however long single values are.
+
+    Spark reads the bound from the session when a plan runs, so the session keeps it; all callers
+    want the same one.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)

@@ -2,69 +2,91 @@
 
 from __future__ import annotations
 
-import sqlite3
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import crs, text
 from ..operators import grid as grid_operator
+from ..shared import map_batches
+from . import vector
 
 GRID_COLUMNS = ("plot_id", "point_id", "lon", "lat")
+CELLS = 100_000  # values of a batch of melted columns
 
 
-def polygons(spark: SparkSession, path: str, epsg: int = 4326, id_order: list[str] | None = None) -> DataFrame:
-    """Plots of a GeoParquet file or folder: repaired ``parts`` in degrees, with a ``plot_id``.
+def polygons(spark: SparkSession, path: str, epsg: int | None = None, id_order: list[str] | None = None) -> DataFrame:
+    """Plots of a GeoParquet table, a GeoPackage or a shapefile: repaired ``parts`` in degrees, with a ``plot_id``.
 
-    A source in UTM metres (``epsg``) is projected back. Without a ``plot_id`` column plots are
-    numbered in the order of ``id_order`` (their geometry's bytes, if not given).
+    ``epsg`` is the source's reference system: by default what a GeoPackage or shapefile says of
+    itself, and geographic coordinates otherwise. UTM metres are projected back. Without a
+    ``plot_id`` plots are numbered in the order of ``id_order`` (by default the file's keys, or
+    the geometry's bytes of a GeoParquet table).
     """
-    plots = spark.read.parquet(path)
-    if "plot_id" not in plots.columns:
-        plots = grid_operator.with_default_id(plots, id_order or ["geometry"])
+    if is_vector(path):
+        plots = vector.read(spark, path)
+        if epsg is None:  # one row a file's layer
+            found = sorted({r["epsg"] for r in plots.select("epsg").distinct().collect()} - {None})
+            if len(found) > 1:
+                raise ValueError(f"{path} has layers of several reference systems: {found}")
+            epsg = found[0] if found else 4326
+        if plots.filter(F.col("attributes")["plot_id"].isNotNull()).isEmpty():
+            plots = grid_operator.with_default_id(plots, id_order or ["file", "layer", "fid"])
+        else:
+            plots = plots.withColumn("plot_id", F.col("attributes")["plot_id"].cast("double").cast("long"))
+    else:
+        plots = spark.read.parquet(path)
+        if "plot_id" not in plots.columns:
+            plots = grid_operator.with_default_id(plots, id_order or ["geometry"])
     found = grid_operator.polygons(plots)
-    return found if epsg == 4326 else found.withColumn("parts", crs.reprojected(F.col("parts"), epsg, forward=False))
+    return found if epsg in (None, 4326) else found.withColumn("parts", crs.reprojected(F.col("parts"), epsg, forward=False))
 
 
-def polygon_folder(spark: SparkSession, path: str) -> DataFrame:
-    """All polygon files of a folder, with ``province`` from each file's name."""
-    plots = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").parquet(path)
-    return plots.withColumn("province", F.upper(F.regexp_replace(F.col("_metadata.file_name"), r"\.parquet$", "")))
+def is_vector(path: str) -> bool:
+    return path.lower().endswith((".gpkg", ".shp"))
 
 
-def geopackage(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """(fid, geometry): a layer of a GeoPackage file that the executors can open.
+def polygon_folder(spark: SparkSession, path: str) -> DataFrame:
+    """(province, file, fid, epsg, geometry, attributes) of all polygon files of a folder, of all three kinds.
 
-    The file format is a database of one machine; a task reads it in batches by row number.
+    ``province`` is the file's name in upper case. ``fid`` is a row's number in a Parquet file, a
+    key in a GeoPackage, a record's number in a shapefile; ``attributes`` holds the other fields
+    that are not null, as text. A folder without such a file is an error.
     """
+    # A Parquet table may be a folder of files; its own name counts.
+    name = F.regexp_extract("file", r"(?i)([^/]+)\.(?:parquet|gpkg|shp)(?:/[^/]*)?$", 1)
+    found = []
+    if names := parquet_files(spark, path):
+        table = spark.read.option("mergeSchema", "true").parquet(*names)
+        others = [c for c in table.columns if c != "geometry"]
+        told = F.map_from_arrays(F.array(*(F.lit(c) for c in others)).cast("array<string>"), F.array(*(F.col(f"`{c}`").cast("string") for c in others)).cast("array<string>"))
+        found.append(
+            table.select(
+                F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("fid"), F.lit(None).cast("int").alias("epsg"), "geometry", F.map_filter(told, lambda k, v: v.isNotNull()).alias("attributes")
+            )
+        )
+    if "://" not in path and vector.listed(path):
+        found.append(vector.read(spark, path).select("file", "fid", "epsg", "geometry", "attributes"))
+    if not found:
+        raise ValueError(f"no polygon file in {path}")
+    return (found[0] if len(found) == 1 else found[0].unionByName(found[1])).withColumn("province", F.upper(name))
+
+
+def parquet_files(spark: SparkSession, path: str) -> list[str]:
+    """The Parquet files and tables of a folder, sorted by name."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = [f.getPath() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    return sorted(p.toString() for p in found if p.getName().endswith(".parquet"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name in batch.column("path").to_pylist():
-                with sqlite3.connect(f"file:{name}?mode=ro", uri=True) as db:
-                    geom, key = geometry_columns(db, layer)
-                    rows = db.execute(f'SELECT "{key}", "{geom}" FROM "{layer}" ORDER BY "{key}"')  # noqa: S608
-                    while part := rows.fetchmany(1000):
-                        ids, blobs = zip(*part)
-                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([b and package_geometry(b) for b in blobs], pa.binary())], names=["fid", "geometry"])
-
-    return spark.createDataFrame([(path,)], "path string").mapInArrow(run, "fid long, geometry binary")
-
-
-def geometry_columns(db: sqlite3.Connection, layer: str) -> tuple[str, str]:
-    geom = db.execute("SELECT column_name FROM gpkg_geometry_columns WHERE table_name = ?", (layer,)).fetchone()
-    key = [r[1] for r in db.execute(f'PRAGMA table_info("{layer}")') if r[5]]
-    if not geom or not key:
-        raise ValueError(f"{layer} is no layer with a geometry and a key")
-    return geom[0], key[0]
 
-
-def package_geometry(blob: bytes) -> bytes:
-    """A GeoPackage blob without its header: magic, version, flags, reference system, envelope."""
-    envelope = (0, 32, 48, 48, 64)[blob[3] >> 1 & 7]
-    return blob[8 + envelope :]
+def geopackage(spark: SparkSession, path: str, layer: str) -> DataFrame:
+    """(fid, geometry): a layer of a GeoPackage file."""
+    return vector.read(spark, path, layer).select("fid", "geometry")
 
 
 def tile_index(spark: SparkSession, path: str) -> DataFrame:
@@ -100,13 +122,52 @@ def wide_months(spark: SparkSession, path: str) -> DataFrame:
 
 
 def plot_files(spark: SparkSession, path: str) -> DataFrame:
-    """(plot_id, x, y, day, v) of a folder with one file a plot, whose id ends its name.
-
-    Days differ from file to file; absent ones are null.
+    """(file, plot_id, row, x, y, day, v) of a folder with one file a plot and tile, whose plot id ends its name.
+
+    Every file has columns of its own days. It is melted by its own footer, inside the task that
+    gets its bytes, so that no schema of all files is ever put together: the plan is as wide for
+    two files as for many thousands, and Spark packs small files into tasks as it does for any
+    source. ``row`` numbers a file's points. A day that a file lacks has no row, one that holds
+    nothing has a null. Files whose name has no number, or without columns of days, are no plots;
+    columns that are neither days nor x and y are not read. A file must fit an executor's memory.
     """
-    table = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
-    days = text.date_columns(table.columns)
-    # try_cast: a file whose name has no number is no plot.
-    named = table.select(F.expr(r"try_cast(regexp_extract(_metadata.file_path, '_([0-9]+)\\.parquet$', 1) AS bigint)").alias("plot_id"), "x", "y", *(F.col(f"`{c}`").cast("double").alias(c) for c in days))
-    rows = named.filter("plot_id is not null").unpivot(["plot_id", "x", "y"], [F.col(f"`{c}`") for c in days], "name", "v")
-    return rows.select("plot_id", "x", "y", text.parsed_day(F.col("name")).alias("day"), "v")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    named = files.select("path", F.expr(r"try_cast(regexp_extract(path, '_([0-9]+)\\.parquet$', 1) AS bigint)").alias("plot_id"), "content").filter("plot_id is not null")
+    rows = map_batches(named, _melted, "file string, plot_id long, row int, x double, y double, name string, v double")
+    return rows.select("file", "plot_id", "row", "x", "y", text.parsed_day(F.col("name")).alias("day"), "v")
+
+
+_MELTED = ["file", "plot_id", "row", "x", "y", "name", "v"]
+
+
+def _melted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A file's columns of days one under the other, some at a time."""
+    for batch in batches:
+        for path, plot, content in zip(*(batch.column(c) for c in ("path", "plot_id", "content"))):
+            source = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+            names = source.schema_arrow.names
+            days, n = text.date_columns(names), source.metadata.num_rows
+            if not days or not n:
+                continue
+            at = source.read([c for c in ("x", "y") if c in names])
+            x, y = (at.column(c).cast(pa.float64()).combine_chunks() if c in names else pa.nulls(n, pa.float64()) for c in ("x", "y"))
+            together = max(1, CELLS // n)
+            for k in range(0, len(days), together):
+                own = days[k : k + together]
+                table, rows = source.read(own), pa.array(np.tile(np.arange(n, dtype=np.int32), len(own)))
+                # NaN stands for no value in these files.
+                values = pa.chunked_array([c for d in own for c in table.column(d).cast(pa.float64()).chunks], pa.float64()).combine_chunks()
+                values = pc.if_else(pc.is_nan(values), pa.scalar(None, pa.float64()), values)
+                columns = [pa.repeat(path, len(rows)), pa.repeat(plot, len(rows)), rows, x.take(rows), y.take(rows), pa.array(np.repeat(np.array(own, object), n), pa.string()), values]
+                yield pa.RecordBatch.from_arrays(columns, names=_MELTED)
+
+
+def plot_file_months(spark: SparkSession, path: str) -> DataFrame:
+    """(plot_id, month, v): the mean over a file's points of their monthly maximum, and of a plot's files the largest.
+
+    Plots and months without any value have a null.
+    """
+    seen = plot_files(spark, path).filter("day is not null")
+    month = text.month_of(F.col("day")).alias("month")
+    tops = seen.groupBy("file", "plot_id", "row", month).agg(F.max("v").alias("v"))
+    return tops.groupBy("file", "plot_id", "month").agg(F.avg("v").alias("v")).groupBy("plot_id", "month").agg(F.max("v").alias("v"))
