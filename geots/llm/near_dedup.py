@@ -2,7 +2,7 @@
 
 A document is the set of its word shingles. Equal sets are one item at once. Items enter
 independent trees: a tree's root level deals them by one minwise token. Members of a node that
-holds holds many items are first linked with a sample of its members, in a few trees ahead. A node that
+holds many items are first linked with a sample of its members, in a few trees ahead. A node that
 this makes one component is done; a node of items little alike is dealt again by further minwise
 tokens, chosen by the node itself, along two paths at every level; large nodes of items much alike
 meet a sample of their members too, and those outside a node's largest component are compared with
@@ -41,6 +41,7 @@ ALIKE = 0.5  # mean similarity from which dealing a node again costs more than i
 MOSTLY = 0.5  # share of a node's members in one component from which only the others are looked at
 AHEAD = 3  # trees whose large nodes meet pivots before all trees are dealt
 SIGMAS = 3.6  # how far below the threshold a sketch may fall by chance
+WORD_BYTES = 16 << 20  # of remembered words, with what each takes beside its letters
 HEAVY = 4_000_000  # shingles of a node's members beyond which its candidates are confirmed pair by pair
 
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -56,11 +57,15 @@ _ODD = _mix(_mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * _STEP)) | np.uint64
 
 
 class _Words(dict):
-    """64-bit hashes of words met in this worker."""
+    """64-bit hashes of words met in this task, of bounded number and length."""
+
+    room = WORD_BYTES
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
+        self.room -= len(word) + 100
+        if self.room < 0:
             self.clear()
+            self.room = WORD_BYTES
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
@@ -68,6 +73,20 @@ class _Words(dict):
 _words = _Words()
 
 
+def _forgetting(run):
+    """``run`` for a task; what it has remembered and freed is given back, as other stages' tasks need it too."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _words.clear()
+            _words.room = WORD_BYTES
+            pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def shingles(text: str) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text, A-Z lower-cased; empty without words.
 
@@ -106,7 +125,6 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, ids, sketches, roots = zip(*rows) if rows else ((), (), (), ())
         arrays = [batch.column("doc_id"), batch.column("h"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(sketches, pa.binary()), pa.array(roots, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "n_shingles", "set_id", "sketch", "roots"])
-    _words.clear()  # a worker lives on, and its memory is other stages' too
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
@@ -495,7 +513,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     least = SKETCH * (percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / SKETCH) ** 0.5)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     described = scratch.table(
-        map_batches(texts, _describe, "doc_id long, h long, n_shingles long, set_id binary, sketch binary, roots array<long>")
+        map_batches(texts, _forgetting(_describe), "doc_id long, h long, n_shingles long, set_id binary, sketch binary, roots array<long>")
     )
     sets = described.filter("set_id is not null and doc_id is not null")
     items = scratch.table(
@@ -507,7 +525,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     dealt = leaves.join(now.select("rep", "n", "sketch", "label"), "rep").select("node", "rep", "n", "sketch", "label")
     sorted_nodes = dealt.repartition("node").sortWithinPartitions("node", "rep")
     compared = scratch.table(
-        map_batches(sorted_nodes, _leaf_edges(least, percent), "node long, left array<long>, right array<long>, members array<long>, sizes array<long>, sketches binary")
+        map_batches(sorted_nodes, _forgetting(_leaf_edges(least, percent)), "node long, left array<long>, right array<long>, members array<long>, sizes array<long>, sketches binary")
     )
     edges = compared.select(F.explode(F.arrays_zip("left", "right")).alias("e")).select(
         F.least("e.left", "e.right").alias("a"), F.greatest("e.left", "e.right").alias("b")
@@ -565,7 +583,7 @@ def _confirmed(scratch: Scratch, texts: DataFrame, items: DataFrame, pairs: Data
     sided = pairs.join(own.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a").join(
         own.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    out = scratch.table(map_batches(sided.select("a", "b", "text_a", "text_b"), _confirm(percent), "a long, b long").distinct())
+    out = scratch.table(map_batches(sided.select("a", "b", "text_a", "text_b"), _forgetting(_confirm(percent)), "a long, b long").distinct())
     scratch.drop(own)
     return out
 
@@ -600,9 +618,9 @@ def _second_look(
     members = scratch.table(
         map_batches(labelled.filter(shingles_held <= HEAVY), _open_members(least, percent), "node long, rep long, n long, sketch binary, label long")
     )
-    own = map_batches(_texts_of(scratch, texts, items, members.select("rep").distinct()), _sets, "rep long, shingles binary")
+    own = map_batches(_texts_of(scratch, texts, items, members.select("rep").distinct()), _forgetting(_sets), "rep long, shingles binary")
     dealt = members.join(own, "rep").repartition("node").sortWithinPartitions("node", "rep")
-    links = scratch.table(map_batches(dealt, _exact_links(least, percent), "a long, b long").distinct())
+    links = scratch.table(map_batches(dealt, _forgetting(_exact_links(least, percent)), "a long, b long").distinct())
     heavy = labelled.filter(shingles_held > HEAVY)
     if heavy.isEmpty():
         return links
