@@ -93,6 +93,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the documents table; each stage's rows are a table that the next one reads."""
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
-    for _, stage in STAGES:
-        docs = scratch.table(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES):
+        before, docs = docs, scratch.table(stage(spark, docs, sf_dir))
+        if k:  # what the stage has read is its own table, written and done with
+            scratch.drop(before)
     return docs
