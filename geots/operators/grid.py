@@ -9,6 +9,7 @@ from ..functions import crs, geometry, text, wkb
 from .order import numbered
 
 CORNER, CENTRE, SNAPPED = "corner", "centre", "snapped"
+LINES, POINTS = 64, 65_536  # of a band of scan lines
 
 
 def with_default_id(plots: DataFrame, order: list[str], id_col: str = "plot_id") -> DataFrame:
@@ -56,20 +57,61 @@ def snapped(v: Column, spacing: float) -> Column:
     return F.floor(v / spacing) * F.lit(float(spacing))
 
 
+def _bands(rings: Column, spacing: float, start: str) -> Column:
+    """The scan lines of a polygon in bands: for each (band, x0, low, lines, edges that its lines meet).
+
+    A band has at most LINES lines, and fewer in a wide polygon: its bounds hold about POINTS points.
+    """
+    every, b = geometry.polygon_edges(rings), geometry.bounds(F.flatten(rings))
+    x0, y0 = first_centre(b["xmin"], spacing, start), first_centre(b["ymin"], spacing, start)
+    lines = F.greatest(F.ceil((b["ymax"] - y0) / spacing), F.lit(0).cast("long"))
+    fitting = F.floor(POINTS * spacing / F.greatest(b["xmax"] - b["xmin"], F.lit(float(spacing))))
+    tall = F.greatest(F.least(F.lit(LINES).cast("long"), fitting), F.lit(1).cast("long"))
+
+    def band(k: Column) -> Column:
+        low = y0 + k * tall * F.lit(float(spacing))
+        n = F.least(tall, lines - k * tall)
+        top = low + n * F.lit(float(spacing))  # a line's height more than needed, against rounding
+        own = F.filter(every, lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= top))
+        return F.struct(k.alias("band"), x0.alias("x0"), low.alias("low"), n.alias("lines"), own.alias("edges"))
+
+    numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(lines / tall), F.lit(1).cast("long")) - 1)
+    return F.transform(F.filter(numbers, lambda k: lines > 0), band)
+
+
+def _points(spacing: float) -> Column:
+    """A band's points (x, y): by line, then x."""
+
+    def line(j: Column) -> Column:
+        y = F.col("low") + j * F.lit(float(spacing))
+        return F.transform(geometry.row_centres(F.col("edges"), y, F.col("x0"), spacing), lambda x: F.struct(x.alias("x"), y.alias("y")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), F.col("lines") - 1), line))
+
+
 def grid(plots: DataFrame, key: str = "plot_id", spacing: float = 10, start: str = SNAPPED) -> DataFrame:
     """(key, point_id, x, y): grid points strictly inside each plot's ``parts`` (metres).
 
-    Points are numbered from 0 within a plot: by part, then y, then x. A plot that holds no grid
-    point has no row. Each row of a part is generated by a scan line; the rows' counts are summed
-    along a plot in one task, which holds the rows of one plot with their positions.
+    Points are numbered from 0 within a row of ``plots``: by part, then y, then x. A plot that holds
+    no grid point has no row. The scan lines of a part are cut into bands, each with the edges
+    that its lines meet. A plot of one band is numbered where it stands. The bands of other plots
+    are dealt to tasks, so that one huge plot keeps many of them busy; the bands' sizes alone are
+    summed along the plot, and come back to the bands by a join on the same partitioning.
     """
-    part = plots.select(key, F.posexplode("parts").alias("part", "rings"))
-    part = part.select(key, "part", geometry.polygon_edges(F.col("rings")).alias("edges"), geometry.bounds(F.flatten("rings")).alias("b"))
-    lines = part.select(key, "part", "edges", first_centre(F.col("b.xmin"), spacing, start).alias("x0"), F.explode(axis(F.col("b.ymin"), F.col("b.ymax"), spacing, start)).alias("y"))
-    rows = lines.select(key, "part", "y", geometry.row_centres(F.col("edges"), F.col("y"), F.col("x0"), spacing).alias("xs")).filter(F.size("xs") > 0)
-    before = Window.partitionBy(key).orderBy("part", "y").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("before", F.coalesce(F.sum(F.size("xs")).over(before), F.lit(0)))
-    return placed.select(key, F.posexplode("xs").alias("nth", "x"), "y", "before").select(key, (F.col("before") + F.col("nth")).cast("long").alias("point_id"), "x", "y")
+    whole = plots.select(F.col(key).alias("id"), F.transform("parts", lambda rings: _bands(rings, spacing, start)).alias("bands"), F.xxhash64("parts").alias("shape"))
+    total = F.aggregate("bands", F.lit(0), lambda n, b: n + F.size(b))
+    parts = whole.select("id", "shape", total.alias("total"), F.posexplode("bands").alias("part", "bands"))
+    rows = parts.select("id", "shape", "total", "part", F.explode("bands").alias("b")).select("id", "shape", "total", "part", "b.*")
+    alone = rows.filter("total = 1").select("id", F.lit(0).cast("long").alias("before"), F.posexplode(_points(spacing)).alias("nth", "p"))
+    # A number of partitions is named, as these small rows would else be put together that become many.
+    place = ["shape", "part", "band"]
+    dealt = rows.filter("total > 1").drop("total").repartition(int(plots.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", *place)
+    sizes = dealt.select("id", *place, F.size(_points(spacing)).alias("n")).dropDuplicates(["id", *place])
+    earlier = Window.partitionBy("id", "shape").orderBy("part", "band").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("id").alias("own"), *place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long").alias("before"))
+    joined = dealt.join(offsets.withColumnsRenamed({c: f"{c}_" for c in place}), F.col("id").eqNullSafe(F.col("own")) & (F.col("shape") == F.col("shape_")) & (F.col("part") == F.col("part_")) & (F.col("band") == F.col("band_")))
+    several = joined.select("id", "before", F.posexplode(_points(spacing)).alias("nth", "p"))
+    return alone.unionByName(several).select(F.col("id").alias(key), (F.col("before") + F.col("nth")).cast("long").alias("point_id"), "p.x", "p.y")
 
 
 def province_grid(points: DataFrame, province: str, epsg: int | Column) -> DataFrame:

@@ -58,6 +58,33 @@ def test_edges_on_grid_lines_are_outside(spark):
     assert grid.grid(thin).count() == 0
 
 
+def test_numbers_run_on_over_bands_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(grid, "LINES", 2)
+    rng = random.Random(8)
+    plots = {i: [star(rng, 7), [(x + 500 * (i % 3), y) for x, y in star(rng, 5)]] for i in range(12)}
+    rows = [(None if i == 5 else i, [[[{"x": x, "y": y} for x, y in r]] for r in rings]) for i, rings in plots.items()]
+    df = spark.createDataFrame([*rows, rows[3], (4, rows[6][1])], "plot_id long, parts array<array<array<struct<x:double,y:double>>>>")
+    got: dict = {}
+    for r in grid.grid(df).collect():
+        got.setdefault(r["plot_id"], []).append((r["point_id"], r["x"], r["y"]))
+    for i, rings in plots.items():
+        want = [(x + 5, y + 5) for ring in rings for y in range(0, 400, 10) for x in range(0, 1600, 10) if inside(ring, x + 5, y + 5)]
+        numbered = [(n, *p) for n, p in enumerate(want)]
+        again = {3: numbered, 4: [(n, *p) for n, p in enumerate([(x + 5, y + 5) for ring in plots[6] for y in range(0, 400, 10) for x in range(0, 1600, 10) if inside(ring, x + 5, y + 5)])]}
+        assert sorted(got.get(None if i == 5 else i, [])) == sorted(numbered + again.get(i, []))
+
+
+def test_one_huge_plot_is_made_by_many_tasks(spark):
+    """Half a million scan lines: bands in all partitions, and only their sizes in the task that sums."""
+    ring = ring_column([(0, 0), (30, 0), (30, 5_000_000), (0, 5_000_000), (0, 0)])
+    made = grid.grid(spark.range(1).select(F.col("id").alias("plot_id"), F.array(F.array(ring)).alias("parts")))
+    spread = made.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.min("point_id").alias("a"), F.max("point_id").alias("b")).collect()
+    n = sum(r["n"] for r in spread)
+    assert n == 1_500_000 and min(r["a"] for r in spread) == 0 and max(r["b"] for r in spread) == n - 1
+    assert len([r for r in spread if r["n"] > n / 16]) == 4  # of the session's four partitions
+    assert made.select("point_id").distinct().count() == n
+
+
 def test_axis(spark):
     def axis(low, high, start=grid.SNAPPED):
         return spark.range(1).select(grid.axis(F.lit(float(low)), F.lit(float(high)), 10, start)).first()[0]
