@@ -2,35 +2,18 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shared import map_batches, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["Scratch", "map_batches", "shared_dir", "table", "with_columns"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Where it is unset a session on one machine gets a temporary folder, which later calls find in
-    its settings; on a cluster, whose executors would not see that folder, this is an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.conf.get("geots.shared.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if not re.fullmatch(r"local(\[.*\])?", master):
-            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
-        found = tempfile.mkdtemp(prefix="geots-")
-        spark.conf.set("geots.shared.dir", found)
-    return found.rstrip("/")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 class Scratch:
@@ -61,18 +44,3 @@ class Scratch:
 def with_columns(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
     """Schema of ``df`` with ``fields`` added."""
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])
-
-
-#: Bytes of text in an Arrow batch: what a Python worker holds at once, beside the longest text.
-BATCH_BYTES = 8 << 20
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def map_batches(df: DataFrame, run, schema: T.StructType | str) -> DataFrame:
-    """``df.mapInArrow`` in batches of bounded bytes, however long the texts are.
-
-    Spark reads the bound from the session when a plan runs, so the session keeps it; every
-    operator here wants the same one.
-    """
-    df.sparkSession.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
