@@ -25,8 +25,11 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--output-file")
     g.add_argument("--overwrite", action="store_true")
     m = jobs.add_parser("monthly", help="monthly statistics; further settings come from the environment")
-    for name in ("scenes", "blocks", "meta", "tiles"):
+    for name in ("scenes", "tiles"):
         m.add_argument(f"--{name}", required=True, help=f"table of {name}")
+    m.add_argument("--blocks", help="table of blocks, with --meta")
+    m.add_argument("--meta", help="table of the blocks' places")
+    m.add_argument("--rasters", help="table of GeoTIFF files (tile, scene_id, band, path) instead of both")
     return top
 
 
@@ -55,11 +58,19 @@ def main(args: list[str] | None = None) -> None:
         for path in [options.polygon_file] if options.polygon_file else polygon_files(spark, options.polygon_dir):
             print(make_grid(spark, path, options.grid_dir, options.output_file, options.overwrite))
         return
-    found = {n: spark.read.parquet(getattr(options, n)) for n in ("scenes", "blocks", "meta")}
+    if bool(options.rasters) == bool(options.blocks and options.meta):
+        raise SystemExit("give either --rasters or --blocks and --meta")
+    config = Config.from_env()
+    if options.rasters:
+        blocks, meta, broken = run.from_rasters(spark.read.parquet(options.rasters), config)
+        for r in broken.orderBy("path").limit(20).collect():  # the first of them; the table has all
+            print(f"not read: {r['path']}: {r['problem']}")
+    else:
+        blocks, meta = (spark.read.parquet(getattr(options, n)) for n in ("blocks", "meta"))
     tiles = tables.tile_index(spark, options.tiles)
     if "epsg" not in tiles.columns:  # the tile's name begins with its zone
         tiles = tiles.withColumn("epsg", F.lit(32600) + F.substring("tile", 1, 2).cast("int"))
-    for name, rows in run.run(spark, Config.from_env(), tiles, **found).items():
+    for name, rows in run.run(spark, config, tiles, spark.read.parquet(options.scenes), blocks, meta).items():
         print(f"{name}: {rows} rows")
 
 

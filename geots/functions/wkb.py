@@ -6,6 +6,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,9 +89,10 @@ def polygon_bytes(parts) -> bytes | None:
     return each[0] if len(each) == 1 else struct.pack("<BII", 1, MULTI_POLYGON, len(each)) + b"".join(each)
 
 
-@F.pandas_udf(T.BinaryType())
-def encoded(parts: pd.Series) -> pd.Series:
-    return parts.map(polygon_bytes, na_action="ignore")
+@F.arrow_udf(T.BinaryType())
+def encoded(parts: pa.Array) -> pa.Array:
+    """A geometry's bytes; null stays null. Parts may differ in their number of rings."""
+    return pa.array((polygon_bytes(p.as_py()) for p in parts), pa.binary())
 
 
 @F.pandas_udf(T.BinaryType())

@@ -54,10 +54,38 @@ def long(table: DataFrame, columns: list[str], by: str = "month", value: str = "
     return table.unpivot([F.col(f"`{c}`") for c in rest], [F.col(f"`{c}`") for c in columns], by, value)
 
 
+def wide_statistics(long_stats: DataFrame, points: DataFrame, month_names: list[str]) -> DataFrame:
+    """One wide table of all four statistics, single precision, for every point: one pivot, one join.
+
+    Points without a value in any month stay, with nulls. Columns are named ``<month>_<statistic>``.
+    """
+    at = points.select(*POINT, F.col("lat").cast("float").alias("lat"), F.col("lon").cast("float").alias("lon")).dropDuplicates(list(POINT))
+    rows = long_stats.select(*POINT, "month", *(F.col(s).cast("float").alias(s) for s in STATS))
+    table = rows.groupBy(*POINT).pivot("month", month_names).agg(*(F.first(s, ignorenulls=True).alias(s) for s in STATS))
+    return at.join(table, list(POINT), "left")
+
+
+def of_statistic(table: DataFrame, name: str, month_names: list[str]) -> DataFrame:
+    """The wide table of one statistic: of a written ``wide_statistics`` only its columns are read."""
+    return table.select(*POINT, "lat", "lon", *(F.col(f"`{m}_{name}`").alias(m) for m in month_names))
+
+
 def four_tables(long_stats: DataFrame, points: DataFrame, month_names: list[str]) -> dict[str, DataFrame]:
     """The four wide tables, single precision, with the points' coordinates."""
-    at = points.select(*POINT, F.col("lat").cast("float").alias("lat"), F.col("lon").cast("float").alias("lon")).dropDuplicates(list(POINT))
-    return {s: at.join(wide(long_stats, s, month_names, narrow=True), list(POINT), "left").select(*POINT, "lat", "lon", *(F.col(f"`{m}`") for m in month_names)) for s in STATS}
+    table = wide_statistics(long_stats, points, month_names)
+    return {s: of_statistic(table, s, month_names) for s in STATS}
+
+
+def united(tables: list[DataFrame]) -> DataFrame:
+    """Wide tables of differing months under each other: a month that a table lacks is null in its rows.
+
+    Month columns come last, in order. At least one table must be given.
+    """
+    whole = tables[0]
+    for more in tables[1:]:
+        whole = whole.unionByName(more, allowMissingColumns=True)
+    names = text.month_columns(whole.columns)
+    return whole.select(*(c for c in whole.columns if c not in names), *(F.col(f"`{m}`") for m in names))
 
 
 def plot_scene(observations: DataFrame, value: str = "ndvi", day: str = "day") -> DataFrame:

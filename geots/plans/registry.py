@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import crs, geometry, raster, text, wkb
 from ..operators import compare, grid, monthly, order, sampling, spatial
-from ..sources import archive, geotiff, tables
+from ..sources import archive, geotiff, sinks, tables
 from ..streaming import scenes as streaming
 from . import bridge, files, run
 
@@ -282,7 +282,9 @@ def p10(spark, d):
 
 @query("p11_polygon_flatten", BOX + "SELECT plot_id, part FROM part")
 def p11(spark, d):
-    return bridge.plots(spark, d).select("plot_id", F.posexplode("parts").alias("part", "rings")).select("plot_id", "part")
+    """The polygons of geometries' bytes, of which some are multipolygons."""
+    flat = bridge.plots(spark, d).select("plot_id", wkb.decoded(wkb.encoded("parts")).alias("parts"))
+    return flat.select("plot_id", F.posexplode("parts").alias("part", "rings")).select("plot_id", "part")
 
 
 @query("o7_point_id", BOX + "SELECT plot_id, point_id, x, y FROM pts")
@@ -296,15 +298,62 @@ def f1(spark, d):
     return grid.grid(bridge.plots(spark, d)).select("plot_id", "point_id", uid.alias("plot_uid"), text.feature_id(uid, F.col("x"), F.col("y")).alias("feature_id"))
 
 
-@query("s24_province_grid", None)
+UID = "'RAYONG_' || plot_id"
+
+
+@query("s24_province_grid", BOX + f"SELECT 'RAYONG' AS province, plot_id, {UID} AS plot_uid, point_id, md5({UID} || '_' || CAST(x AS BIGINT) || '_' || CAST(y AS BIGINT)) AS feature_id, x AS x_utm, y AS y_utm, x AS x_back, y AS y_back, 21 AS n_bytes FROM pts")
 def s24(spark, d):
-    """The whole grid table, with geographic coordinates and point bytes."""
-    return grid.province_grid(grid.grid(bridge.plots(spark, d)), "RAYONG", 32647)
+    """The whole grid table; its geographic coordinates projected forward again, and the size of its point's bytes."""
+    made = grid.province_grid(grid.grid(bridge.plots(spark, d)), "RAYONG", 32647)
+    x, y = crs.to_utm(F.col("lon"), F.col("lat"), 32647)
+    return made.select(*made.columns[:7], r6(x, "x_back"), r6(y, "y_back"), F.octet_length("geometry").alias("n_bytes"))
 
 
-@query("s22_point_master", None)
+@query("s22_point_master", BOX + "SELECT plot_id, point_id, x, y, TRUE AS same, '0101000000' AS head FROM pts")
 def s22(spark, d):
-    return grid.point_master(grid.province_grid(grid.grid(bridge.plots(spark, d)), "RAYONG", 32647))
+    """Point master: its place projected forward again, the same place in both pairs of columns, and its geometry's header."""
+    made = grid.point_master(grid.province_grid(grid.grid(bridge.plots(spark, d)), "RAYONG", 32647))
+    x, y = crs.to_utm(F.col("lon"), F.col("lat"), 32647)
+    return made.select("plot_id", "point_id", r6(x, "x"), r6(y, "y"), ((F.col("x") == F.col("lon")) & (F.col("y") == F.col("lat"))).alias("same"), F.hex(F.substring("geometry", 1, 5)).alias("head"))
+
+
+@query("s12_grid_scan", BOX + "SELECT plot_id, CAST(count(*) AS BIGINT) AS n, CAST(max(point_id) AS BIGINT) AS last FROM pts GROUP BY 1")
+def s12(spark, d):
+    """The grid table written, and read with the columns that a run needs."""
+    path = f"{files.folder(spark, 'grid')}/RAYONG_grid.parquet"
+    grid.province_grid(grid.grid(bridge.plots(spark, d)), "RAYONG", 32647).write.parquet(path)
+    return tables.grid(spark, path).groupBy("plot_id").agg(F.count("lat").alias("n"), F.max("point_id").alias("last"))
+
+
+@query("s3_default_id", BOX + "SELECT plot_id AS name, CAST(row_number() OVER (ORDER BY x0, plot_id) - 1 AS BIGINT) AS plot_id FROM box")
+def s3(spark, d):
+    boxes = bridge.boxes(spark, d).withColumnRenamed("plot_id", "name")
+    return grid.with_default_id(boxes, ["x0", "name"]).select("name", "plot_id")
+
+
+@query("p3_reproject_polygons", BOX + "SELECT plot_id, min(x0) AS xmin, min(y0) AS ymin, max(x0 + w) AS xmax, max(y0 + h) AS ymax, CAST(sum(CASE WHEN hole THEN 10 ELSE 5 END) AS BIGINT) AS n FROM part GROUP BY 1")
+def p3(spark, d):
+    """Polygons to degrees and back to metres: bounds and number of vertices."""
+    there = bridge.plots(spark, d).withColumn("parts", crs.reprojected(F.col("parts"), 32647, forward=False))
+    back = there.select("plot_id", geometry.vertices(crs.reprojected(F.col("parts"), 32647)).alias("v"))
+    b = geometry.bounds(F.col("v"))
+    return back.select("plot_id", *(r6(b[n], n) for n in ("xmin", "ymin", "xmax", "ymax")), F.size("v").cast("long").alias("n"))
+
+
+@query("p12_drop_null_geometry", BOX + "SELECT plot_id, TRUE AS valid, CAST(count(*) AS BIGINT) AS n_parts FROM part WHERE plot_id % 5 NOT IN (0, 1) GROUP BY 1")
+def p12(spark, d):
+    """Geometries that are null or without area go; the others are decoded and valid."""
+    flat = F.array(F.array(geometry.rectangle(F.lit(0.0), F.lit(0.0), F.lit(9.0), F.lit(0.0))))
+    k = F.col("plot_id") % 5
+    bytes_of = F.when(k == 1, wkb.encoded(flat)).when(k != 0, wkb.encoded("parts"))
+    return grid.polygons(bridge.plots(spark, d).select("plot_id", bytes_of.alias("geometry"))).select("plot_id", "valid", F.size("parts").cast("long").alias("n_parts"))
+
+
+@query("f13_representative_point", BOX + "SELECT plot_id, TRUE AS inside, FALSE AS empty FROM box")
+def f13(spark, d):
+    # A step of its own: inside the test, which goes over the edges, the point would be found for each.
+    placed = order.materialised(bridge.plots(spark, d).select("plot_id", "parts", geometry.representative_point(F.col("parts")).alias("p")))
+    return placed.select("plot_id", geometry.in_polygon(geometry.edges(F.col("parts")), F.col("p.x"), F.col("p.y")).alias("inside"), (F.size("parts") == 0).alias("empty"))
 
 
 @query("f11_centroid", BOX + """
@@ -391,21 +440,26 @@ def j7(spark, d):
 
 @query("j8_coarse_mask", PART + "SELECT p_partkey, CAST(floor((x - 500000) / 20) AS INTEGER) AS mx, CAST(((floor((x - 500000) / 20) * 7) % 5) AS BIGINT) AS mask FROM q WHERE x >= 500000")
 def j8(spark, d):
-    """The coarse mask's cell under a fine pixel: an equi-join on floor indices."""
-    fine = _parts(spark, d).filter("x >= 500000").select("p_partkey", raster.pixel_floor(F.col("x"), F.lit(500000.0), F.lit(20.0)).alias("mx"))
-    coarse = spark.range(0, 200).select(F.col("id").cast("int").alias("mx"), (F.col("id") * 7 % 5).alias("mask"))
-    return fine.join(coarse, "mx").select("p_partkey", "mx", "mask")
+    """The coarse mask's cell under a fine pixel, from a mask raster of 20 m in blocks."""
+    fine = _parts(spark, d).filter("x >= 500000").select("p_partkey", F.lit("T").alias("tile"), "x", F.lit(10.0).alias("y"))
+    cells = bridge.table(spark, d, "part").select((F.col("p_partkey") % 200).cast("int").alias("px")).distinct()
+    pixels = cells.select(F.lit("T").alias("tile"), F.lit(1).cast("long").alias("scene_id"), F.lit("mask").alias("band"), "px", F.lit(0).alias("py"), (F.col("px") * 7 % 5).alias("dn"))
+    place = {"gx": 500000.0, "gw": 20.0, "gy": 0.0, "gh": 20.0, "nx": 200, "ny": 1}
+    meta = pixels.select("tile", "band").distinct().select("tile", "band", *(F.lit(v).alias(n) for n, v in place.items()), F.lit(None).cast("int").alias("nodata"))
+    found = sampling.sampled(fine, sampling.blocked(pixels, BLOCK), meta, "mask", "mask", CONFIG)
+    return found.select("p_partkey", raster.pixel_floor(F.col("x"), F.lit(500000.0), F.lit(20.0)).alias("mx"), F.col("mask").cast("long").alias("mask"))
 
 
 @query("s15_geotiff_pixels", RASTER + "SELECT tile, plot_id, point_id, CAST(day AS VARCHAR) AS day, round(v, 6) AS ndvi FROM val")
 def s15(spark, d):
     """As j7, from GeoTIFF files: directories to a table of blocks, of which those with points are read."""
-    points, scenes, _, about = _raster(spark, d)
+    points, scenes, _, _ = _raster(spark, d)
+    points = order.materialised(points)
     epsg, nodata = 32647, 3999
     listed = files.write_rasters(bridge.pixels(spark, d), files.folder(spark, "rasters"), BLOCK, (bridge.GX, bridge.GY), (bridge.GW, bridge.GH), epsg, nodata)
     found = order.materialised(geotiff.index(order.materialised(listed), BLOCK))
     own = geotiff.meta(found)
-    blocks = geotiff.blocks(geotiff.needed(found, points, own, BLOCK, list(bridge.BANDS)), BLOCK)
+    blocks = geotiff.blocks(geotiff.needed(found, points, own, CONFIG, list(bridge.BANDS)), BLOCK, bands=list(bridge.BANDS))
     return sampling.observations(points, scenes, blocks, own, CONFIG).select("tile", "plot_id", "point_id", day_text(), r6("ndvi"))
 
 
@@ -416,6 +470,14 @@ def s14(spark, d):
     return geotiff.meta(geotiff.index(order.materialised(listed), BLOCK))
 
 
+@query("s17_full_band", "SELECT r_regionkey AS tile, r_regionkey * 4 + k AS scene_id, band, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN b = 0 THEN (px * 31 + py * 17 + (r_regionkey * 4 + k) * 13) % 3 ELSE ((px * 31 + py * 17 + (r_regionkey * 4 + k) * 13 + b * 7) * 37) % 4000 END * (px + 64 * py)) AS BIGINT) AS mixed FROM region, (SELECT unnest(generate_series(0, 3)) AS k), (SELECT unnest(['mask', 'nir', 'red']) AS band, unnest([0, 1, 2]) AS b), (SELECT unnest(generate_series(0, 63)) AS px), (SELECT unnest(generate_series(0, 63)) AS py) GROUP BY 1, 2, 3")
+def s17(spark, d):
+    """All pixels of all bands, taken out of their blocks: how many, and their values weighted by their places."""
+    pixels = sampling.pixels(sampling.blocked(bridge.pixels(spark, d), BLOCK), bridge.meta(spark, d), BLOCK)
+    mixed = F.sum(F.col("dn").cast("long") * (F.col("px") + F.lit(bridge.NX) * F.col("py")))
+    return pixels.groupBy("tile", "scene_id", "band").agg(F.count(F.lit(1)).alias("n"), mixed.alias("mixed"))
+
+
 @query("a10_clear_counts", RASTER + "SELECT tile, scene_id, CAST(count(*) AS BIGINT) AS n_points, CAST(count(*) FILTER (mask = 0) AS BIGINT) AS n_clear FROM seen GROUP BY 1, 2")
 def a10(spark, d):
     points, _, blocks, meta = _raster(spark, d)
@@ -470,6 +532,9 @@ def j13(spark, d):
     return compare.month_pairs(*bridge.plot_months(spark, d)).select("plot_id", "month", r6("v1"), r6("v2"))
 
 
+ONE_OF_ALL = ", one AS (SELECT plot_id, point_id, month, " + ", ".join(f"arg_min({s}, tile_no) FILTER ({s} IS NOT NULL) AS {s}" for s in monthly.STATS) + " FROM stats GROUP BY 1, 2, 3)"
+
+
 # Aggregations -----------------------------------------------------------------------------------
 
 
@@ -497,6 +562,32 @@ def a5(spark, d):
     return monthly.dense(stats, raw, monthly.months(raw), keys).select(*keys, "month", r6("mean"))
 
 
+@query("s21_tile_sink", OBS + "SELECT tile_no AS tile, CAST(count(*) AS BIGINT) AS n, CAST(count(v) AS BIGINT) AS n_values, CAST(count(DISTINCT plot_id) AS BIGINT) AS n_plots FROM ndvi GROUP BY 1")
+def s21(spark, d):
+    """Observations written in a folder a tile, twice with the last tile alone the second time, and read back."""
+    path = f"{files.folder(spark, 'tiles')}/tiles.parquet"
+    seen = bridge.observations(spark, d).withColumnRenamed("tile_no", "tile")
+    sinks.write_tiles(seen, path)
+    sinks.write_tiles(seen.filter("tile = 4"), path)
+    found = spark.read.schema(seen.schema).parquet(path)
+    return found.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("n_values"), F.countDistinct("plot_id").alias("n_plots"))
+
+
+@query("s23_four_tables", OBS + ONE_OF_ALL + " SELECT plot_id, point_id, CAST(plot_id AS FLOAT) AS lat, " + ", ".join(f"CAST(count({s}) AS BIGINT) AS n_{s}, max(CAST({s} AS FLOAT)) AS top_{s}" for s in monthly.STATS) + " FROM one GROUP BY 1, 2")
+def s23(spark, d):
+    """The four wide tables, joined: of every point the number of months with a value, and the largest, in single precision."""
+    long = monthly.across_tiles(_stats(spark, d), "tile_no")
+    points = long.select(*monthly.POINT, F.col("plot_id").alias("lat"), F.col("point_id").alias("lon")).distinct()
+    days = bridge.table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"))
+    months = sorted(r["month"] for r in monthly.months(days).collect())
+    out = None
+    for s, table in monthly.four_tables(long, points, months).items():
+        held = F.array(*(F.col(f"`{m}`") for m in months))
+        own = table.select(*monthly.POINT, *(["lat"] if out is None else []), F.size(F.filter(held, lambda v: v.isNotNull())).cast("long").alias(f"n_{s}"), F.array_max(held).alias(f"top_{s}"))
+        out = own if out is None else out.join(own, list(monthly.POINT))
+    return out
+
+
 @query("a6_tile_dedup", OBS + "SELECT plot_id, point_id, month, " + ", ".join(f"round(arg_min({s}, tile_no) FILTER ({s} IS NOT NULL), 6) AS {s}" for s in monthly.STATS) + " FROM stats GROUP BY 1, 2, 3")
 def a6(spark, d):
     return monthly.across_tiles(_stats(spark, d), "tile_no").select("plot_id", "point_id", "month", *(r6(s) for s in monthly.STATS))
@@ -773,6 +864,25 @@ def o16(spark, d):
     return monthly.long(*_wide(spark, d)).select("plot_id", "point_id", "month", r6("ndvi"))
 
 
+@query("o9_union_months", OBS + """, s AS (SELECT tile_no, plot_id, point_id, month, mean FROM stats WHERE tile_no IN (0, 1) AND (tile_no = 0) = (month < '1996-07')),
+k AS (SELECT DISTINCT month FROM s), f AS (SELECT tile_no, plot_id, point_id, k.month, s.mean FROM (SELECT DISTINCT tile_no, plot_id, point_id FROM s) CROSS JOIN k LEFT JOIN s USING (tile_no, plot_id, point_id, month))
+SELECT tile_no, plot_id, point_id, string_agg(month, ',' ORDER BY month) AS months,
+string_agg(coalesce(CAST(CAST(floor(mean * CAST(1000000 AS DOUBLE) + CAST(0.5001 AS DOUBLE)) AS BIGINT) AS VARCHAR), '-'), ',' ORDER BY month) AS millionths FROM f GROUP BY 1, 2, 3""")
+def o9(spark, d):
+    """Two written wide tables, one a tile, of other months each, as one; its rows as in o17."""
+    path, paths = files.folder(spark, "wide"), []
+    stats = _stats(spark, d).filter("tile_no IN (0, 1) AND (tile_no = 0) = (month < '1996-07')")
+    for tile in (0, 1):
+        own = stats.filter(F.col("tile_no") == tile)
+        months = sorted(r["month"] for r in own.select("month").distinct().collect())
+        paths.append(f"{path}/tile{tile}.parquet")
+        monthly.wide(own, "mean", months, keys=["tile_no", *monthly.POINT]).write.parquet(paths[-1])
+    table = tables.wide_tables(spark, paths)
+    names = text.month_columns(table.columns)
+    values = [F.coalesce(F.floor(F.col(f"`{m}`") * F.lit(1e6) + F.lit(0.5001)).cast("string"), F.lit("-")) for m in names]
+    return table.select("tile_no", "plot_id", "point_id", F.lit(",".join(names)).alias("months"), F.concat_ws(",", *values).alias("millionths"))
+
+
 @query("o18_plot_matrix", OBS + "SELECT plot_id, CAST(day AS VARCHAR) AS day, string_agg(CAST(point_id AS VARCHAR), ',' ORDER BY point_id) AS points, round(sum(v * (point_id + 1)), 6) AS mixed FROM loc GROUP BY 1, 2")
 def o18(spark, d):
     rows = monthly.plot_matrix(bridge.sides(spark, d)[0], "v")
@@ -795,6 +905,14 @@ def f3(spark, d):
     return named.select("o_orderkey", day.cast("string").alias("day"), text.month_of(day).alias("month"), text.month_start(day).cast("string").alias("first"))
 
 
+@query("f10_month_format", "SELECT o_orderkey, o_orderkey % 3 = 0 AS is_month FROM orders")
+def f10(spark, d):
+    k = F.col("o_orderkey")
+    name = F.date_format("o_orderdate", "yyyy-MM")
+    name = F.when(k % 3 == 1, F.concat(name, F.lit("-01"))).when(k % 3 == 2, F.replace(name, F.lit("-"), F.lit("/"))).otherwise(name)
+    return bridge.table(spark, d, "orders").select("o_orderkey", text.is_month_name(name).alias("is_month"))
+
+
 @query("f6_stem_normalise", "SELECT c_custkey, upper(replace(c_name, ' ', '_')) AS stem FROM (SELECT c_custkey, regexp_replace(c_name, '#[0-9]*', '') AS c_name FROM customer)")
 def f6(spark, d):
     name = F.concat(F.regexp_replace("c_name", "#[0-9]*", ""), F.lit("_grid 2.parquet"))
@@ -804,7 +922,7 @@ def f6(spark, d):
 @query("f8_file_plot_id", "SELECT c_custkey, c_custkey AS plot_id FROM customer")
 def f8(spark, d):
     path = F.concat(F.lit("/x/plot_"), F.col("c_custkey"), F.lit(".parquet"))
-    return bridge.table(spark, d, "customer").select("c_custkey", F.regexp_extract(path, r"_(\d+)\.parquet$", 1).cast("long").alias("plot_id"))
+    return bridge.table(spark, d, "customer").select("c_custkey", text.file_plot_id(path).alias("plot_id"))
 
 
 @query("s19_plot_files", OBS + """, top AS (SELECT tile_no, plot_id, point_id, strftime(day, '%Y-%m') AS month, max(v) AS v FROM ndvi GROUP BY 1, 2, 3, 4),

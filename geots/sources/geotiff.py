@@ -13,6 +13,7 @@ spans strips reads them whole. Files must be in a folder that driver and executo
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..config import Config
 from ..operators import sampling
 from ..shared import map_batches, mounted
 
@@ -36,10 +38,13 @@ PIXEL_SCALE, TIEPOINT, TRANSFORMATION, GEO_KEYS, NO_DATA = 33550, 33922, 34264,
 RASTER_TYPE, GEOGRAPHIC, PROJECTED, POINT_PIXELS, USER_DEFINED = 1025, 2048, 3072, 2, 32767
 PLAIN, DEFLATE, OLD_DEFLATE = 1, 8, 32946
 
+#: What reading a damaged, cut off, absent or unsupported file raises.
+BROKEN = (OSError, ValueError, KeyError, IndexError, struct.error, zlib.error)
+
 _PIECE = "struct<offset:long,size:long,x:int,y:int>"
 _GRID = "gx double, gw double, gy double, gh double, nx int, ny int, nodata double, epsg int"
 _LAYOUT = "kind string, samples int, compression int, predictor int, wide int, tall int"
-INDEX = f"tile {{tile}}, scene_id long, band string, path string, bx int, by int, {_GRID}, {_LAYOUT}, pieces array<{_PIECE}>"
+INDEX = f"tile {{tile}}, scene_id long, band string, path string, bx int, by int, {_GRID}, {_LAYOUT}, pieces array<{_PIECE}>, problem string"
 
 
 def directory(read: Callable[[int, int], bytes]) -> tuple[str, dict[int, np.ndarray]]:
@@ -116,7 +121,7 @@ def file_blocks(read: Callable[[int, int], bytes], block: int) -> Iterator[dict]
             rows = range(by * block // tall, -(-min(ny, (by + 1) * block) // tall))
             columns = range(bx * block // wide, -(-min(nx, (bx + 1) * block) // wide))
             pieces = [{"offset": int(offsets[r * across + c]), "size": int(sizes[r * across + c]), "x": c * wide, "y": r * tall} for r in rows for c in columns]
-            yield {"bx": bx, "by": by, **fixed, "pieces": pieces}
+            yield {"bx": bx, "by": by, **fixed, "pieces": pieces, "problem": None}
 
 
 def _reader(f) -> Callable[[int, int], bytes]:
@@ -127,10 +132,11 @@ def _reader(f) -> Callable[[int, int], bytes]:
     return read
 
 
-def index(files: DataFrame, block: int) -> DataFrame:
+def index(files: DataFrame, block: int, broken: str = "error") -> DataFrame:
     """A row for each block of the rasters ``files`` (tile, scene_id, band, path); see ``INDEX``.
 
-    A null path and repeated rows are as many rasters as rows say: null ones have no blocks.
+    A null path has no blocks; a file named twice has its blocks twice. A file that cannot be read
+    is an error or, with ``broken`` "skip", one row of no place with the ``problem`` told.
     """
     own = files.select("tile", F.col("scene_id").cast("long").alias("scene_id"), "band", "path").filter("path is not null")
     schema = T._parse_datatype_string(INDEX.format(tile=own.schema["tile"].dataType.simpleString()))
@@ -138,12 +144,17 @@ def index(files: DataFrame, block: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                with open(mounted(row["path"]), "rb") as f:
-                    found = [row | b for b in file_blocks(_reader(f), block)]
+                try:
+                    with open(mounted(row["path"]), "rb") as f:
+                        found = [row | b for b in file_blocks(_reader(f), block)]
+                except BROKEN as e:
+                    if broken != "skip":
+                        raise
+                    found = [dict.fromkeys(schema.names) | row | {"problem": f"{type(e).__name__}: {e}"}]
                 for at in range(0, len(found), 4096):
                     part = found[at : at + 4096]
-                    arrays = [pa.array([r[n] for r in part]) for n in schema.names]
-                    yield pa.RecordBatch.from_arrays([a.cast(k) for a, k in zip(arrays, _arrow(schema))], names=schema.names)
+                    arrays = [pa.array([r[n] for r in part], k) for n, k in zip(schema.names, _arrow(schema))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return map_batches(own, run, schema)
 
@@ -161,13 +172,16 @@ def meta(found: DataFrame) -> DataFrame:
     return found.filter("bx = 0 and by = 0").groupBy("tile", "band").agg(F.min_by(F.struct(*names), "scene_id").alias("m")).select("tile", "band", "m.*")
 
 
-def needed(found: DataFrame, points: DataFrame, about: DataFrame, block: int, bands: list[str]) -> DataFrame:
-    """Rows of ``index`` whose block holds a point (tile, x, y) in one of ``bands``."""
-    config = sampling.Config(block=block)
-    each = [sampling.placed(points.select("tile", "x", "y"), about, b, config).select("tile", F.lit(b).alias("band"), *(F.floor(F.col(p) / block).cast("int").alias(c) for p, c in (("px", "bx"), ("py", "by")))).distinct() for b in bands]
-    wanted = each[0]
-    for more in each[1:]:
-        wanted = wanted.union(more)
+def needed(found: DataFrame, points: DataFrame, about: DataFrame, config: Config, bands: list[str]) -> DataFrame:
+    """Rows of ``index`` whose block holds a point (tile, x, y) in one of ``bands``.
+
+    Bands on one grid are looked at together, so that points are gone through once a grid.
+    """
+    place = ["tile", "gx", "gw", "gy", "gh", "nx", "ny"]
+    grids = about.filter(F.col("band").isin(bands)).groupBy(*place).agg(F.collect_set("band").alias("bands")).withColumn("band", F.lit("all"))
+    at = sampling.placed(points.select("tile", "x", "y"), grids, "all", config)
+    held = at.select("tile", "bands", *(F.floor(F.col(p) / config.block).cast("int").alias(c) for p, c in (("px", "bx"), ("py", "by")))).distinct()
+    wanted = held.select("tile", F.explode("bands").alias("band"), "bx", "by").distinct()
     return found.join(wanted, ["tile", "band", "bx", "by"], "left_semi")
 
 
@@ -195,31 +209,42 @@ def _block(read: Callable[[int, int], bytes], row: dict, block: int) -> np.ndarr
     return out
 
 
-def blocks(found: DataFrame, block: int, kind: str = "int") -> DataFrame:
+def blocks(found: DataFrame, block: int, kind: str = "int", broken: str = "error", bands: list[str] | None = None) -> DataFrame:
     """(tile, scene_id, band, bx, by, data): the blocks of rows of ``index``, their bytes read and decoded.
 
     ``data`` is an array of ``kind`` ("int", "long" or "double"). Rows of a file are read in order of
     their place in it where they come in one task; each is read by itself, so any task can do it again.
+    A block that cannot be read is an error or, with ``broken`` "skip", a null. Where ``bands`` are
+    given each is a branch of its own, so that a later filter by band decodes no other.
     """
     names = ["tile", "scene_id", "band", "path", "bx", "by", "nx", "ny", *(part.split()[0] for part in _LAYOUT.split(", ")), "pieces"]
     own = found.select(*names)
     numbers = {"int": np.int32, "long": np.int64, "double": np.float64}[kind]
     schema = T.StructType([*(own.schema[n] for n in ("tile", "scene_id", "band", "bx", "by")), T.StructField("data", T.ArrayType(T._parse_datatype_string(kind)))])
-    return map_batches(own, partial(_decode, block=block, numbers=numbers), schema)
+    run = partial(_decode, block=block, numbers=numbers, skip=broken == "skip")
+    if bands is None:
+        return map_batches(own, run, schema)
+    return functools.reduce(DataFrame.unionByName, (map_batches(own.filter(F.col("band") == b), run, schema).withColumn("band", F.lit(b)) for b in bands))
 
 
-def _decode(batches: Iterator[pa.RecordBatch], block: int, numbers: type) -> Iterator[pa.RecordBatch]:
+def _decode(batches: Iterator[pa.RecordBatch], block: int, numbers: type, skip: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 16):
             part = batch.slice(at, 16)
             data, path, f = [], None, None
             try:
                 for row in part.to_pylist():
-                    if row["path"] != path:
-                        if f:
-                            f.close()
-                        path, f = row["path"], open(mounted(row["path"]), "rb")  # noqa: SIM115
-                    data.append(_block(_reader(f), row, block).astype(numbers).ravel())
+                    try:
+                        if row["path"] != path:
+                            if f:
+                                f.close()
+                            path, f = None, None
+                            path, f = row["path"], open(mounted(row["path"]), "rb")  # noqa: SIM115
+                        data.append(_block(_reader(f), row, block).astype(numbers).ravel())
+                    except BROKEN:
+                        if not skip:
+                            raise
+                        data.append(None)
             finally:
                 if f:
                     f.close()

@@ -70,10 +70,14 @@ def add_footer(name: str, footer: str) -> int:
     return rows
 
 
-def write_csv(df: DataFrame, path: str, order: list | None = None) -> None:
-    """A report as one CSV file with a header. For results of bounded size: reports and top lists."""
+def write_csv(df: DataFrame, path: str, order: list | None = None, single: bool = True) -> None:
+    """A report as CSV files with a header each, which in the order of their names are in ``order``.
+
+    One file, written by one task, for results of bounded size: summaries and top lists. With
+    ``single`` false tasks write ranges of the report, for those that grow with points and days.
+    """
     rows = df.orderBy(*order) if order else df
-    rows.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def summary_text(overall: dict, monthly: list[dict]) -> str:
@@ -98,6 +102,11 @@ def put_text(spark: SparkSession, path: str, content: str) -> None:
     out.close()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete intermediate tables; called after a run has succeeded, never on failure."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

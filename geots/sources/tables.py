@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import crs, text
 from ..operators import grid as grid_operator
+from ..operators import monthly
 from ..shared import map_batches
 from . import vector
 
@@ -78,9 +79,10 @@ def polygon_folder(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parquet_files(spark: SparkSession, path: str) -> list[str]:
-    """The Parquet files and tables of a folder, sorted by name."""
+    """The Parquet files and tables of a folder, sorted by name; none if there is no such folder."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = [f.getPath() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in files.listStatus(root)] if files.exists(root) else []
     return sorted(p.toString() for p in found if p.getName().endswith(".parquet"))
 
 
@@ -114,6 +116,11 @@ def wide_days(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("plot_id", "point_id", text.parsed_day(F.col("name")).alias("day"), "v")
 
 
+def wide_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Wide tables of differing months as one. Each is planned by its own columns: no schemas are merged."""
+    return monthly.united([spark.read.parquet(p) for p in paths])
+
+
 def wide_months(spark: SparkSession, path: str) -> DataFrame:
     """(plot_id, point_id, month, v) of one of a run's four tables."""
     table = spark.read.option("mergeSchema", "true").parquet(path)
@@ -132,7 +139,7 @@ def plot_files(spark: SparkSession, path: str) -> DataFrame:
     columns that are neither days nor x and y are not read. A file must fit an executor's memory.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    named = files.select("path", F.expr(r"try_cast(regexp_extract(path, '_([0-9]+)\\.parquet$', 1) AS bigint)").alias("plot_id"), "content").filter("plot_id is not null")
+    named = files.select("path", text.file_plot_id(F.col("path")).alias("plot_id"), "content").filter("plot_id is not null")
     rows = map_batches(named, _melted, "file string, plot_id long, row int, x double, y double, name string, v double")
     return rows.select("file", "plot_id", "row", "x", "y", text.parsed_day(F.col("name")).alias("day"), "v")
 

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from geots.config import Config
 from geots.functions import wkb
 from geots.operators import grid, sampling
 from geots.plans import bridge, files
@@ -235,7 +236,7 @@ def test_only_blocks_with_points_are_read(spark, tmp_path):
     (tmp_path / "a.tif").write_bytes(files.tiff_bytes(values, 16, (0.0, 640.0), (10.0, -10.0), 32647, None))
     found = geotiff.index(spark.createDataFrame([("T", 1, "nir", f"{tmp_path}/a.tif")], "tile string, scene_id long, band string, path string"), 16)
     points = spark.createDataFrame([("T", 5.0, 635.0), ("T", 6.0, 634.0), ("T", 639.0, 1.0), ("T", -50.0, 0.0), ("U", 5.0, 5.0)], "tile string, x double, y double")
-    own = geotiff.needed(found, points, geotiff.meta(found), 16, ["nir", "red"])
+    own = geotiff.needed(found, points, geotiff.meta(found), Config(block=16), ["nir", "red"])
     assert sorted((r["bx"], r["by"]) for r in own.collect()) == [(0, 0), (3, 3)]
     assert {r["data"][0] for r in geotiff.blocks(own, 16, "double").collect()} == {0.0, 48 * 64 + 48.0}
 

@@ -7,6 +7,7 @@ import random
 import sqlite3
 import struct
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from geots.config import Config
@@ -213,6 +214,105 @@ def test_whole_run_writes_four_tables(spark, tmp_path):
     assert not (tmp_path / "out/TRAT/_stats.parquet").exists()
 
 
+def small_run(spark, tmp_path, **settings):
+    """Two tiles of one box of points: points, scenes, pixels and settings of a run."""
+    ring = ring_column([(99.0, 13.5), (99.0003, 13.5), (99.0003, 13.5003), (99.0, 13.5003), (99.0, 13.5)])
+    plots = spark.range(1).select(F.lit(7).cast("long").alias("plot_id"), F.array(F.array(ring)).alias("parts"))
+    tiles = spark.createDataFrame([("A",), ("B",)], "tile string").select("tile", F.array(F.array(ring_column([(98, 13), (100, 13), (100, 14), (98, 14), (98, 13)]))).alias("parts"), F.lit(32647).alias("epsg"))
+    pq.write_table(plots.select("plot_id", wkb.encoded("parts").alias("geometry")).toArrow(), tmp_path / "trat.parquet")
+    (tmp_path / "grid_points").mkdir()
+    points = grid.build(plots, "TRAT", 32647)
+    pq.write_table(points.toArrow(), tmp_path / "grid_points/Trat_grid 2.parquet")
+    at = points.agg(F.min("x_utm").alias("x"), F.max("y_utm").alias("y")).first()
+    gx, gy = at["x"] - 5.0, at["y"] + 5.0
+    scenes = spark.createDataFrame([(t, 10 * k + i, dt.date(2021, 1 + k, 5)) for i, t in enumerate("AB") for k in range(2)], "tile string, scene_id long, day date")
+    n = F.col("px") * 31 + F.col("py") * 17 + F.col("scene_id") * 5
+    cells = scenes.select("tile", "scene_id").crossJoin(spark.createDataFrame([("mask",), ("nir",), ("red",)], "band string")).crossJoin(spark.range(8).select(F.col("id").cast("int").alias("px"))).crossJoin(spark.range(8).select(F.col("id").cast("int").alias("py")))
+    pixels = cells.withColumn("dn", F.when(F.col("band") == "mask", n % 2).when(F.col("band") == "nir", 2000 + n).otherwise(1000 + n % 7).cast("int"))
+    config = Config(province="TRAT", polygons=f"{tmp_path}/trat.parquet", output_dir=f"{tmp_path}/out", block=16, **settings)
+    return config, tiles, scenes, pixels, (gx, gy)
+
+
+def four(spark, tmp_path):
+    return {s: sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out/TRAT/ndvi_{s}.parquet").drop("geometry").collect())) for s in monthly.STATS}
+
+
+def test_a_run_that_was_ended_goes_on_where_it_stood(spark, tmp_path, monkeypatch):
+    """Tiles in the log are not done again; changed scenes are; results are those of one run. The grid is found beside the polygons."""
+    monkeypatch.setattr(run, "TILES", 1)
+    config, tiles, scenes, pixels, (gx, gy) = small_run(spark, tmp_path)
+    meta = spark.createDataFrame([(t, b, gx, 10.0, gy, -10.0, 8, 8, None) for t in "AB" for b in ("mask", "nir", "red")], "tile string, band string, gx double, gw double, gy double, gh double, nx int, ny int, nodata int")
+    blocks = sampling.blocked(pixels, 16)
+    written = run.run(spark, config, tiles, scenes, blocks, meta)
+    want, asked = four(spark, tmp_path), []
+    assert sum(v is not None for r in want["mean"] for v in r[4:]) > 4 and set(written.values()) == {len(want["mean"])}
+
+    def failing(points):
+        tile = points.select("tile").first()[0]
+        asked.append(tile)
+        if tile == "B" and asked.count("B") == 1:
+            raise RuntimeError("the machine is gone")
+        return blocks.filter(F.col("tile") == tile)
+
+    with pytest.raises(RuntimeError):
+        run.run(spark, config, tiles, scenes, failing, meta)
+    assert (tmp_path / "out/TRAT/_done.parquet").exists()
+    run.run(spark, config, tiles, scenes, failing, meta)
+    assert asked == ["A", "B", "B"] and four(spark, tmp_path) == want
+    told = json.loads((tmp_path / "out/TRAT/performance_summary.json").read_text())
+    assert (told["tiles_processed"], told["tiles_resumed"], told["scenes_processed"]) == (2, 1, 4) and 0 < told["index_points"] <= told["clear_points"]
+    assert not [p.name for p in (tmp_path / "out/TRAT").iterdir() if p.name.startswith("_")]
+    asked.clear()
+    with pytest.raises(RuntimeError):
+        run.run(spark, config, tiles, scenes, failing, meta)
+    run.run(spark, config, tiles, scenes.filter("scene_id <> 10"), failing, meta)  # A has lost a scene and is done again
+    assert asked == ["A", "B", "A", "B"] and four(spark, tmp_path) != want
+
+
+def test_a_run_from_raster_files(spark, tmp_path, monkeypatch):
+    """As from blocks; a file that is cut off leaves its scene without values and is named."""
+    from geots import __main__ as command
+    from geots.plans import files
+
+    config, tiles, scenes, pixels, (gx, gy) = small_run(spark, tmp_path)
+    made = {}
+    for r in pixels.groupBy("tile", "scene_id", "band").agg(F.sort_array(F.collect_list(F.struct("py", "px", "dn"))).alias("c")).collect():
+        path = tmp_path / f"{r['tile']}{r['scene_id']}{r['band']}.tif"
+        path.write_bytes(files.tiff_bytes(np.array([c["dn"] for c in r["c"]]).reshape(8, 8), 16, (gx, gy), (10.0, -10.0), 32647, None))
+        made[r["tile"], r["scene_id"], r["band"]] = path
+    rasters = spark.createDataFrame([(*k, str(p)) for k, p in made.items()], "tile string, scene_id long, band string, path string")
+    blocks, meta, broken = run.from_rasters(rasters, config)
+    run.run(spark, config, tiles, scenes, blocks, meta)
+    found = four(spark, tmp_path)
+    assert broken.count() == 0
+    plain = [(t, b, gx, 10.0, gy, -10.0, 8, 8, None) for t in "AB" for b in ("mask", "nir", "red")]
+    run.run(spark, config, tiles, scenes, sampling.blocked(pixels, 16), spark.createDataFrame(plain, "tile string, band string, gx double, gw double, gy double, gh double, nx int, ny int, nodata int"))
+    assert four(spark, tmp_path) == found
+    cut = made["A", 10, "nir"]
+    cut.write_bytes(cut.read_bytes()[:40])
+    made["B", 11, "mask"].unlink()
+    for name, df in (("rasters", rasters), ("scenes", scenes)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    pq.write_table(tiles.select(F.col("tile").alias("Name"), wkb.encoded("parts").alias("geometry"), "epsg").toArrow(), tmp_path / "tiles.parquet")
+    for name, value in {"PROVINCE": "trat", "GOLDEN_DURIAN_PATH": config.polygons, "OUTPUT_DIR": config.output_dir}.items():
+        monkeypatch.setenv(name, value)
+    monkeypatch.setattr(Config, "from_env", classmethod(lambda cls: config))
+    command.main(["monthly", *(f"--{n}={tmp_path}/{n}.parquet" for n in ("scenes", "tiles", "rasters"))])
+    after = four(spark, tmp_path)["mean"]
+    assert [r[:5] for r in after] == [r[:5] for r in found["mean"]]  # January as before
+    assert {r[5] for r in after} == {None} and {r[5] for r in found["mean"]} != {None}
+    with pytest.raises(SystemExit):
+        command.main(["monthly", "--scenes=x", "--tiles=y"])
+
+
+def test_wide_tables_of_differing_months(spark, tmp_path):
+    spark.createDataFrame([(1, 0, 0.5, 0.25)], "plot_id long, point_id long, `2021-02` double, `2021-01` double").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([(2, 0, 0.75)], "plot_id long, point_id long, `2021-03` double").write.parquet(f"{tmp_path}/b")
+    got = tables.wide_tables(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert got.columns == ["plot_id", "point_id", "2021-01", "2021-02", "2021-03"]
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 0.25, 0.5, None), (2, 0, None, None, 0.75)]
+
+
 def test_command_line_grid(spark, tmp_path):
     from geots import __main__ as command
 
@@ -265,6 +365,14 @@ def test_legacy_readers(spark, tmp_path):
     assert {(r["plot_id"], r["day"].isoformat(), r["v"]) for r in got.collect()} == {(7, "2021-01-05", 0.25), (8, "2021-01-06", 0.25)}
 
 
+def test_bytes_of_parts_that_differ_in_rings(spark):
+    box = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (4, 0), (4, 4), (0, 0))]
+    rows = [(1, [[box, box[:3] + box[:1]], [box]]), (2, None), (3, [[box]])]
+    df = spark.createDataFrame(rows, "plot_id long, parts array<array<array<struct<x:double,y:double>>>>")
+    got = {r["plot_id"]: r["p"] for r in df.select("plot_id", wkb.decoded(wkb.encoded("parts")).alias("p")).collect()}
+    assert {k: v and [[[{"x": p["x"], "y": p["y"]} for p in ring] for ring in rings] for rings in v] for k, v in got.items()} == dict(rows)
+
+
 def test_default_ids(spark):
     df = spark.createDataFrame([(x,) for x in "dbca"], "name string")
     assert sorted((r["plot_id"], r["name"]) for r in grid.with_default_id(df, ["name"]).collect()) == [(0, "a"), (1, "b"), (2, "c"), (3, "d")]
@@ -295,6 +403,11 @@ def test_geopackage(spark, tmp_path):
 def test_reports(spark, tmp_path):
     sinks.write_csv(spark.range(3), f"{tmp_path}/r.csv", ["id"])
     assert len(list((tmp_path / "r.csv").glob("*.csv"))) == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_csv(spark.range(5000).withColumn("id", 4999 - F.col("id")).repartition(3), f"{tmp_path}/many.csv", ["id"], single=False)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [p.read_text().split() for p in sorted((tmp_path / "many.csv").glob("*.csv"))]
+    assert len(parts) > 1 and {p[0] for p in parts} == {"id"} and [int(x) for p in parts for x in p[1:]] == list(range(5000))
     summary = json.loads(sinks.run_summary("TRAT", "2024-01-01", 90.0, {"tiles_processed": 2}, {"read": 1.0, "write": 3.0}))
     assert summary["timing"]["write"]["percent"] == 75 and summary["total_elapsed_min"] == 1.5
     assert json.loads(sinks.run_summary("T", "d", 0, {}, {"x": 0.0}))["timing"]["x"]["percent"] == 0
