@@ -125,7 +125,7 @@ def centroid(parts: Column) -> Column:
     return F.when(total["a"] != 0, F.struct((origin["x"] + total["x"] / total["a"]).alias("x"), (origin["y"] + total["y"] / total["a"]).alias("y")))
 
 
-def _given(value: Column, use) -> Column:
+def given(value: Column, use) -> Column:
     """``use`` of a value that is computed once, also where ``use`` goes over arrays with it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -142,11 +142,11 @@ def representative_point(parts: Column) -> Column:
             runs = F.transform(pairs, lambda i: F.struct((F.get(cross, i + 1) - F.get(cross, i)).alias("w"), ((F.get(cross, i) + F.get(cross, i + 1)) / 2).alias("x")))
             return F.when(F.size(runs) > 0, F.struct(F.array_max(runs)["x"].alias("x"), y.alias("y")))
 
-        return _given(F.array_sort(F.transform(F.filter(every, lambda e: _crosses(e, y)), lambda e: crossing_x(e, y))), longest)
+        return given(F.array_sort(F.transform(F.filter(every, lambda e: _crosses(e, y)), lambda e: crossing_x(e, y))), longest)
 
     b = bounds(vertices(parts))
     known = F.struct(centroid(parts).alias("c"), edges(parts).alias("e"), ((b["ymin"] + b["ymax"]) / 2).alias("y"))
-    return _given(known, lambda s: F.when(in_polygon(s["e"], s["c"]["x"], s["c"]["y"]), s["c"]).otherwise(middle(s["e"], s["y"])))
+    return given(known, lambda s: F.when(in_polygon(s["e"], s["c"]["x"], s["c"]["y"]), s["c"]).otherwise(middle(s["e"], s["y"])))
 
 
 def is_closed(ring: Column) -> Column:

@@ -62,21 +62,32 @@ def _bands(rings: Column, spacing: float, start: str) -> Column:
 
     A band has at most LINES lines, and fewer in a wide polygon: its bounds hold about POINTS points.
     """
-    every, b = geometry.polygon_edges(rings), geometry.bounds(F.flatten(rings))
-    x0, y0 = first_centre(b["xmin"], spacing, start), first_centre(b["ymin"], spacing, start)
-    lines = F.greatest(F.ceil((b["ymax"] - y0) / spacing), F.lit(0).cast("long"))
-    fitting = F.floor(POINTS * spacing / F.greatest(b["xmax"] - b["xmin"], F.lit(float(spacing))))
-    tall = F.greatest(F.least(F.lit(LINES).cast("long"), fitting), F.lit(1).cast("long"))
-
-    def band(k: Column) -> Column:
-        low = y0 + k * tall * F.lit(float(spacing))
-        n = F.least(tall, lines - k * tall)
-        top = low + n * F.lit(float(spacing))  # a line's height more than needed, against rounding
-        own = F.filter(every, lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= top))
-        return F.struct(k.alias("band"), x0.alias("x0"), low.alias("low"), n.alias("lines"), own.alias("edges"))
-
-    numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(lines / tall), F.lit(1).cast("long")) - 1)
-    return F.transform(F.filter(numbers, lambda k: lines > 0), band)
+    step = F.lit(float(spacing))
+
+    def measured(s: Column) -> Column:
+        lines = F.greatest(F.ceil((s["b"]["ymax"] - s["y0"]) / spacing), F.lit(0).cast("long"))
+        fitting = F.floor(POINTS * spacing / F.greatest(s["b"]["xmax"] - s["b"]["xmin"], step))
+        tall = F.greatest(F.least(F.lit(LINES).cast("long"), fitting), F.lit(1).cast("long"))
+        return F.struct(s["every"].alias("every"), s["x0"].alias("x0"), s["y0"].alias("y0"), lines.alias("lines"), tall.alias("tall"))
+
+    def cut(s: Column) -> Column:
+        def band(k: Column) -> Column:
+            low = s["y0"] + k * s["tall"] * step
+            n = F.least(s["tall"], s["lines"] - k * s["tall"])
+            top = low + n * step  # a line's height more than needed, against rounding
+            own = F.filter(s["every"], lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= top))
+            return F.struct(k.alias("band"), s["x0"].alias("x0"), low.alias("low"), n.alias("lines"), own.alias("edges"))
+
+        numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(s["lines"] / s["tall"]), F.lit(1).cast("long")) - 1)
+        return F.transform(F.filter(numbers, lambda k: s["lines"] > 0), band)
+
+    def bounded(b: Column) -> Column:
+        return F.struct(
+            geometry.polygon_edges(rings).alias("every"), b.alias("b"), first_centre(b["xmin"], spacing, start).alias("x0"), first_centre(b["ymin"], spacing, start).alias("y0")
+        )
+
+    known = geometry.given(geometry.bounds(F.flatten(rings)), bounded)
+    return geometry.given(geometry.given(known, measured), cut)
 
 
 def _points(spacing: float) -> Column:
