@@ -42,14 +42,36 @@ def sampled(points: DataFrame, blocks: DataFrame, meta: DataFrame, band: str, va
     scenes and adds ``scene_id``; ("tile", "scene_id") looks one scene up. The order of the
     block's columns is row by row, a block at the right edge being narrower.
     """
-    at = placed(points, meta, band, config)
+    return sampled_together(points, blocks, meta, {band: value}, config, keys)
+
+
+def sampled_together(points: DataFrame, blocks: DataFrame, meta: DataFrame, values: dict[str, str], config: Config = Config(), keys: tuple[str, ...] = ("tile",)) -> DataFrame:
+    """As ``sampled`` for several bands (band -> column) of one grid: points meet all of them in one exchange.
+
+    The bands' blocks are put side by side first; a point has a row where every band has a block.
+    The bands must have the same grid in each tile (see ``one_grid``); their no-data values may differ.
+    """
+    bands = list(values)
+    about = meta.withColumnRenamed("nodata", "nodata_0")
+    for k, band in enumerate(bands[1:], 1):
+        about = about.join(meta.filter(F.col("band") == band).select("tile", F.col("nodata").alias(f"nodata_{k}")), "tile")
+    at = placed(points, about, bands[0], config)
     at = at.withColumns({"bx": F.floor(F.col("px") / config.block).cast("int"), "by": F.floor(F.col("py") / config.block).cast("int")})
-    own = blocks.filter(F.col("band") == band).select("tile", "scene_id", "bx", "by", "data")
+    block = ["tile", "scene_id", "bx", "by"]
+    side_by_side = None
+    for k, band in enumerate(bands):
+        own = blocks.filter(F.col("band") == band).select(*block, F.col("data").alias(f"data_{k}"))
+        side_by_side = own if side_by_side is None else side_by_side.join(own, block)
     width = F.least(F.lit(config.block), F.col("nx") - F.col("bx") * config.block)
-    got = block_value(F.col("data"), F.col("px"), F.col("py"), width, config.block)
-    joined = at.join(own, [*keys, "bx", "by"])
-    kept = [c for c in points.columns if c != value] + [c for c in ("scene_id",) if c not in points.columns]
-    return joined.select(*kept, raster.no_data(got, F.col("nodata")).alias(value))
+    got = [raster.no_data(block_value(F.col(f"data_{k}"), F.col("px"), F.col("py"), width, config.block), F.col(f"nodata_{k}")).alias(values[band]) for k, band in enumerate(bands)]
+    kept = [c for c in points.columns if c not in values.values()] + [c for c in ("scene_id",) if c not in points.columns]
+    return at.join(side_by_side, [*keys, "bx", "by"]).select(*kept, *got)
+
+
+def one_grid(meta: DataFrame, bands: list[str]) -> bool:
+    """Whether the bands have one and the same grid in each tile. ``meta`` has a row a tile and band."""
+    grids = meta.filter(F.col("band").isin(bands)).groupBy("tile").agg(F.countDistinct("gx", "gw", "gy", "gh", "nx", "ny").alias("grids"), F.countDistinct("band").alias("bands"))
+    return grids.filter((F.col("grids") > 1) | (F.col("bands") < len(bands))).isEmpty()
 
 
 def pixels(blocks: DataFrame, meta: DataFrame, block: int) -> DataFrame:
@@ -75,14 +97,18 @@ def blocked(pixel_table: DataFrame, block: int) -> DataFrame:
 def observations(points: DataFrame, scenes: DataFrame, blocks: DataFrame, meta: DataFrame, config: Config = Config()) -> DataFrame:
     """(tile, plot_id, point_id, day, ndvi): a row for each point and scene with a clear sky there.
 
-    The mask is looked up first and only clear points meet the two bands. A null index (no data,
+    The mask is looked up first and only clear points meet the two bands: both at once where they
+    share their grid in every tile, else one after the other. A null index (no data,
     zero sum) has a row, a cloudy point none: ``monthly.statistics`` brings all points back.
     """
     own = points.select("tile", "plot_id", "point_id", "x", "y")
     seen = sampled(own, blocks, meta, "mask", "mask", config).filter(raster.is_clear(F.col("mask"), config.clear_values)).drop("mask")
     seen = seen.join(scenes.select("tile", "scene_id", "day"), ["tile", "scene_id"])
-    nir = sampled(seen, blocks, meta, "nir", "nir", config, ("tile", "scene_id"))
-    both = sampled(nir, blocks, meta, "red", "red", config, ("tile", "scene_id"))
+    if one_grid(meta, ["nir", "red"]):
+        both = sampled_together(seen, blocks, meta, {"nir": "nir", "red": "red"}, config, ("tile", "scene_id"))
+    else:
+        nir = sampled(seen, blocks, meta, "nir", "nir", config, ("tile", "scene_id"))
+        both = sampled(nir, blocks, meta, "red", "red", config, ("tile", "scene_id"))
     value = raster.ndvi(F.col("nir"), F.col("red"), F.col("day"), config.offset_after, config.dn_offset, config.dn_sentinels)
     return both.select("tile", "plot_id", "point_id", "day", value.alias("ndvi"))
 

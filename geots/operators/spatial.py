@@ -9,33 +9,72 @@ from ..functions import geometry
 from .order import numbered
 
 
-def _cells(low: Column, high: Column, size: float) -> Column:
-    return F.sequence(F.floor(low / size), F.floor(high / size))
+LEVELS = 60  # of cells, each twice as wide as those of the level below
 
 
-def _celled(df: DataFrame, side: str, size: float) -> DataFrame:
-    b = F.col(f"b_{side}")
-    return (
-        df.withColumn(f"b_{side}", geometry.bounds(geometry.vertices(F.col(f"parts_{side}"))))
-        .withColumn("cx", F.explode(_cells(b["xmin"], b["xmax"], size)))
-        .withColumn("cy", F.explode(_cells(b["ymin"], b["ymax"], size)))
-    )
+def _boxes(df: DataFrame, key: str, parts: str, cell: float) -> DataFrame:
+    """(key, shape, b, level): boxes, and the first level whose cells are as wide as the box."""
+    b = F.col("b")
+    wide = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
+    level = F.when(wide > cell, F.least(F.ceil(F.log2(wide / cell)), F.lit(LEVELS))).otherwise(0).cast("int")
+    boxes = df.filter(F.size(parts) > 0).select(F.col(key).alias("key"), F.xxhash64(parts).alias("shape"), geometry.bounds(geometry.vertices(F.col(parts))).alias("b"))
+    return boxes.filter(b["xmin"].isNotNull()).withColumn("level", level)
 
 
-def intersecting(left: DataFrame, right: DataFrame, left_key: str, right_key: str, cell: float, parts: str = "parts") -> DataFrame:
-    """(left_key, right_key) of geometries that share a point, each pair once.
+def _celled(boxes: DataFrame, levels: Column, cell: float, side: str) -> DataFrame:
+    """A row for each of ``levels`` and each cell of that level which the box covers."""
+    size = cell * F.pow(F.lit(2.0), F.col("at"))
+    b = F.col("b")
+    rows = boxes.withColumn("at", F.explode(levels))
+    rows = rows.withColumn("cx", F.explode(F.sequence(F.floor(b["xmin"] / size), F.floor(b["xmax"] / size))))
+    rows = rows.withColumn("cy", F.explode(F.sequence(F.floor(b["ymin"] / size), F.floor(b["ymax"] / size))))
+    return rows.select("at", "cx", "cy", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "shape", "b")))
+
+
+def candidates(left: DataFrame, right: DataFrame, left_key: str, right_key: str, cell: float, parts: str = "parts") -> DataFrame:
+    """(key_a, shape_a, key_b, shape_b) of rows whose bounding boxes meet, each pair of rows once.
 
-    Bounding boxes are dealt to square cells of side ``cell`` and joined on the cell. A pair that
-    shares several cells is kept only in the first one that both boxes cover, so no ``distinct``
-    is needed; then boxes and edges are tested. Rows with null or empty geometries have no pair.
+    Boxes are dealt to square cells of levels: those of level k are 2**k times ``cell`` wide, and a
+    box's own level is the first whose cells are as wide as the box, so it covers at most four
+    there. A box is also dealt to those wider levels that the other side has boxes of its own
+    on, and a pair meets on the wider of its two levels: one side's own cells with the other's,
+    never two boxes that both came up from below. So a box as large as a country costs four rows,
+    and a small one beside it a few more. Keys and boxes alone are dealt. A pair that shares
+    several cells is kept only in the first one that both boxes cover. A cell with many boxes is
+    split by adaptive execution, as the joins are inner ones.
     """
-    a = _celled(left.filter(F.size(parts) > 0).select(left_key, F.col(parts).alias("parts_a")), "a", cell)
-    b = _celled(right.filter(F.size(parts) > 0).select(right_key, F.col(parts).alias("parts_b")), "b", cell)
+    a, b = _boxes(left, left_key, parts, cell), _boxes(right, right_key, parts, cell)
+    # At most LEVELS + 1 numbers a side.
+    levels_a, levels_b = (sorted(r["level"] for r in side.select("level").distinct().collect()) for side in (a, b))
+
+    def above(levels: list[int], own: bool) -> Column:
+        """The other side's levels from a box's own one on, or beyond it."""
+        every = F.array(*(F.lit(n) for n in levels)).cast("array<int>")
+        return F.filter(every, lambda n: n >= F.col("level") if own else n > F.col("level"))
+
+    own = F.array("level")
+    size = cell * F.pow(F.lit(2.0), F.col("at"))
     x, y = F.col("b_a"), F.col("b_b")
-    first = (F.col("cx") == F.floor(F.greatest(x["xmin"], y["xmin"]) / cell)) & (F.col("cy") == F.floor(F.greatest(x["ymin"], y["ymin"]) / cell))
+    first = (F.col("cx") == F.floor(F.greatest(x["xmin"], y["xmin"]) / size)) & (F.col("cy") == F.floor(F.greatest(x["ymin"], y["ymin"]) / size))
     boxes = (x["xmin"] <= y["xmax"]) & (y["xmin"] <= x["xmax"]) & (x["ymin"] <= y["ymax"]) & (y["ymin"] <= x["ymax"])
+    wider_a = _celled(a, own, cell, "a").join(_celled(b, above(levels_a, True), cell, "b"), ["at", "cx", "cy"])
+    wider_b = _celled(a, above(levels_b, False), cell, "a").join(_celled(b, own, cell, "b"), ["at", "cx", "cy"])
+    return wider_a.unionByName(wider_b).filter(first & boxes).select("key_a", "shape_a", "key_b", "shape_b")
+
+
+def intersecting(left: DataFrame, right: DataFrame, left_key: str, right_key: str, cell: float, parts: str = "parts") -> DataFrame:
+    """(left_key, right_key) of geometries that share a point, each pair of keys once.
+
+    Pairs of rows whose boxes meet come from ``candidates``; their geometries are fetched by key
+    and content afterwards, and their edges are tested. Rows with null or empty geometries have no
+    pair. A key may have several rows, and a null key is a key like any other.
+    """
+    met = candidates(left, right, left_key, right_key, cell, parts)
+    a = left.select(F.col(left_key).alias("ka"), F.xxhash64(parts).alias("sa"), F.col(parts).alias("parts_a"))
+    b = right.select(F.col(right_key).alias("kb"), F.xxhash64(parts).alias("sb"), F.col(parts).alias("parts_b"))
+    both = met.join(a, F.col("key_a").eqNullSafe(F.col("ka")) & (F.col("shape_a") == F.col("sa"))).join(b, F.col("key_b").eqNullSafe(F.col("kb")) & (F.col("shape_b") == F.col("sb")))
     exact = geometry.intersects(F.col("parts_a"), F.col("parts_b"))
-    return a.join(b, ["cx", "cy"]).filter(first & boxes).filter(exact).select(left_key, right_key)
+    return both.filter(exact).select(F.col("key_a").alias(left_key), F.col("key_b").alias(right_key)).distinct()
 
 
 def tile_points(points: DataFrame, plot_tiles: DataFrame, key: str = "plot_id", tile: str = "tile") -> DataFrame:

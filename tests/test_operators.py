@@ -117,6 +117,54 @@ def test_tiles_join_is_brute_force(spark):
     assert got == want
 
 
+def test_one_huge_box_beside_many_small_ones_costs_rows_in_proportion(spark):
+    n = 20_000
+    small = spark.range(n).select(F.col("id").alias("a"), (F.col("id") % 200 * 5.0).alias("x"), (F.floor(F.col("id") / 200) * 5.0).alias("y"))
+    small = small.select("a", F.array(F.array(geometry.rectangle(F.col("x") + 1, F.col("y") + 1, F.col("x") + 2, F.col("y") + 2))).alias("parts"))
+    big = spark.createDataFrame([(0, -1.0, -1.0, 998.5, 249.5), (1, 2000.0, 2000.0, 2001.0, 2001.0)], "b long, x double, y double, u double, v double")
+    big = big.select("b", F.array(F.array(geometry.rectangle(F.col("x"), F.col("y"), F.col("u"), F.col("v")))).alias("parts"))
+    for left, right, l, r in ((small, big, "a", "b"), (big, small, "b", "a")):
+        got = {(p[l], p[r]) for p in spatial.intersecting(left, right, l, r, 5.0).collect()}
+        assert got == {((i, 0) if l == "a" else (0, i)) for i in range(n) if i // 200 * 5 + 1 <= 249.5}
+    dealt = spatial._celled(spatial._boxes(big, "b", "parts", 5.0), F.array("level"), 5.0, "b")
+    assert dealt.count() <= 8  # one level of square cells of 5 would take 10,000
+    plan = spatial.candidates(small, big, "a", "b", 5.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parts" not in plan.split("Join")[1].splitlines()[0]
+
+
+def test_join_of_repeated_and_null_keys_and_of_no_rows(spark):
+    def square(key, x):
+        ring = [(x, 0.0), (x + 1, 0.0), (x + 1, 1.0), (x, 1.0), (x, 0.0)]
+        return (key, [[ring]])
+
+    schema = "{} long, parts array<array<array<struct<x: double, y: double>>>>"
+    a = spark.createDataFrame([square(1, 0.0), square(1, 0.0), square(1, 50.0), square(None, 0.5), (7, None), (8, []), (9, [[]])], schema.format("a"))
+    b = spark.createDataFrame([square(2, 0.25), square(2, 50.25), square(3, 90.0)], schema.format("b"))
+    assert {tuple(r) for r in spatial.intersecting(a, b, "a", "b", 2.0).collect()} == {(1, 2), (None, 2)}
+    assert spatial.intersecting(a, b, "a", "b", 2.0).count() == 2
+    assert spatial.intersecting(a.limit(0), b, "a", "b", 2.0).count() == 0
+    assert spatial.intersecting(a, b.limit(0), "a", "b", 2.0).count() == 0
+
+
+def test_bands_of_one_grid_are_looked_up_together(spark):
+    rng = random.Random(9)
+    grid_of = {"nir": (0.0, 10.0, 100.0, -10.0, 10, 10, 0), "red": (0.0, 10.0, 100.0, -10.0, 10, 10, 7)}
+    meta = spark.createDataFrame([("T", b, *g) for b, g in grid_of.items()], "tile string, band string, gx double, gw double, gy double, gh double, nx int, ny int, nodata int")
+    cells = [("T", s, b, x, y, rng.randrange(9)) for s in "ab" for b in grid_of for x in range(10) for y in range(10)]
+    # One block of one scene's red is missing: points there have no row of that scene.
+    cells = [c for c in cells if not (c[1] == "b" and c[2] == "red" and c[3] < 4 and c[4] < 4)]
+    blocks = sampling.blocked(spark.createDataFrame(cells, "tile string, scene_id string, band string, px int, py int, dn int"), 4)
+    points = spark.createDataFrame([("T", s, i, rng.uniform(-20, 120), rng.uniform(-20, 120)) for i in range(300) for s in "ab"], "tile string, scene_id string, i long, x double, y double")
+    keys = ("tile", "scene_id")
+    for config in (Config(block=4), Config(block=4, oob="clamp")):
+        apart = sampling.sampled(sampling.sampled(points, blocks, meta, "nir", "n", config, keys), blocks, meta, "red", "r", config, keys)
+        at_once = sampling.sampled_together(points, blocks, meta, {"nir": "n", "red": "r"}, config, keys)
+        assert sorted(map(tuple, at_once.select("i", "scene_id", "n", "r").collect()), key=str) == sorted(map(tuple, apart.select("i", "scene_id", "n", "r").collect()), key=str)
+    assert sampling.one_grid(meta, ["nir", "red"])
+    assert not sampling.one_grid(meta.withColumn("gx", F.when(F.col("band") == "red", 5.0).otherwise(F.col("gx"))), ["nir", "red"])
+    assert not sampling.one_grid(meta.filter("band = 'nir'"), ["nir", "red"])
+
+
 def test_dedup_takes_the_first_tile_with_a_value(spark):
     rows = [("A", 1, 1, "m1", None), ("B", 1, 1, "m1", 0.4), ("A", 1, 1, "m2", 0.2), ("B", 1, 1, "m2", 0.4), ("A", 1, 1, "m3", None)]
     df = spark.createDataFrame(rows, "tile string, plot_id long, point_id long, month string, v double").withColumns({s: F.col("v") for s in monthly.STATS})
