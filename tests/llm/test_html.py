@@ -1,6 +1,7 @@
 """op3: pages whose text is known, and the registered query over whole pages."""
 
 import re
+import tracemalloc
 from collections import Counter
 from html import unescape
 
@@ -112,6 +113,31 @@ def test_words_that_tell_only_beside_words_of_layout():
     assert html_extract.main_text(f'<article><p>{LONG}</p><div class="share-this-story"><p>Share it</p></div></article>') == LONG
 
 
+def test_names_that_mean_text_and_lists_of_sources_stay():
+    for name in ("navy", "recommendations", "menu-prices", "promotion-of-staff", "advertising-history", "hidden-gems", "modal-verbs", "cookies-recipe", "market-share"):
+        page = f'<article><p>{LONG}</p><div class="{name}"><h3>A short head</h3><p>{LONG} 1</p><p>{LONG} 2</p></div><p>{LONG} 3</p><p>{LONG} 4</p></article>'
+        assert html_extract.main_text(page).split("\n") == [LONG, "A short head", *(f"{LONG} {i}" for i in range(1, 5))], name
+    for name in ("recommendations", "menu-picks"):
+        links = "".join(f'<li><a href="/{i}">Another story of this site, with a long title, number {i}</a></li>' for i in range(2))
+        assert html_extract.main_text(f'<article><p>{LONG}</p><div class="{name}"><ul>{links}</ul></div><p>{LONG} 2</p></article>') == f"{LONG}\n{LONG} 2", name
+    for name in ("ad-slot", "nav-primary", "sr-only", "visually-hidden", "cookie-banner", "main-menu", "comments-thread", "newsletter-signup-box"):
+        assert html_extract.main_text(f'<article><p>{LONG}</p><p>{LONG} 1</p><div class="{name}"><p>{LONG} 2</p></div></article>') == f"{LONG}\n{LONG} 1", name
+    sources = "".join(f'<li><a href="/{i}">On the history of things, part {i}</a> ({1990 + i})</li>' for i in range(4))
+    got = html_extract.main_text(f"<article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><h2>Sources</h2><ol>{sources}</ol></article>").split("\n")
+    assert got == [LONG] * 3 + ["Sources"] + [f"On the history of things, part {i} ({1990 + i})" for i in range(4)]
+
+
+def test_depth_costs_memory_and_time_in_proportion():
+    n = 50_000
+    for head in ("<nav>", '<div class="sidebar">', '<div class="menu-prices">', "<article>", "<i hidden>"):
+        page = f"<article><p>{LONG}</p></article>" + head * n + "x" + f"</{re.match(r'<(\w+)', head)[1]}>" * n
+        tracemalloc.start()
+        text = html_extract.main_text(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert text.startswith(LONG) and peak < 300e6, head
+
+
 def test_nulls_repeats_and_extra_columns(spark):
     df = spark.createDataFrame([(1, None, "old"), (1, "", "old"), (None, f"<p>{LONG}</p>", None)], "page_id long, html string, text string")
     assert sorted(((r["page_id"] or 0), r["text"]) for r in html_extract.extract(df).collect()) == [(0, LONG), (1, ""), (1, "")]
