@@ -11,7 +11,10 @@ Two deterministic transducers in cascade count the tokens of a byte-level BPE vo
    far, and each transition is annotated with the tokens it emits: how many more tokens the
    longer prefix has (possibly none, or fewer, when the byte completes a larger token).
    It is compiled as new prefixes come: the last token of a prefix is the one token that ends
-   there and stands, under the merge ranks, after the last token of what comes before it.
+   there and stands, under the merge ranks, after the last token of what comes before it. The
+   tokens that end at a byte come from an automaton of the vocabulary read backwards. A prefix
+   longer than ``LONG`` makes no state of its own: its transitions are computed as the word is
+   read, from the positions that the longest token reaches back to, and are not kept.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from .common import map_batches, with_columns
 CHUNK = 512  # characters a chunk steps through
 SLICE = 2_000_000  # characters that step at once
 NODES = 1_000_000  # states of the word transducer, beyond which it is compiled afresh
+LONG = 256  # bytes of a word whose prefixes become states
+STANDS = 500_000  # pairs of tokens of which it is remembered whether they stand
 
 # Classes of characters, after look-ahead, and states of the pre-tokenizer.
 LETTER, NUMBER, OTHER, JOIN, LAST, MID, QUOTE1, QUOTE2 = range(8)
@@ -79,6 +84,15 @@ class Counter:
         self.longest = max(map(len, self.token_of))
         self.merges = {(int(a), int(b)): (r, int(m)) for r, (a, b, m) in enumerate(zip(self.bpe.left, self.bpe.right, self.bpe.merged))}
         self.stands: dict[int, bool] = {}
+        self.back: dict[int, int] = {}  # state << 8 | byte -> state, over the tokens' bytes from the last to the first
+        self.ending: list[int] = [-1]  # the token that a state has read, if any
+        for token, i in self.token_of.items():
+            state = 0
+            for byte in reversed(token):
+                state = self.back.setdefault(state << 8 | byte, len(self.ending))
+                if state == len(self.ending):
+                    self.ending.append(-1)
+            self.ending[state] = i
         self._fresh_start()
 
     def _fresh_start(self) -> None:
@@ -102,29 +116,48 @@ class Counter:
         key = (before + 1) * self.bpe.size + token
         known = self.stands.get(key)
         if known is None:
+            if len(self.stands) >= STANDS:
+                self.stands.clear()
             pair = [token] if before < 0 else [before, token]
             known = self.stands[key] = self._tokens(b"".join(map(self.bpe.id_bytes.__getitem__, pair))) == pair
         return known
 
+    def _last_token(self, word: bytes, n: int, lasts: list[int]) -> tuple[int, int]:
+        """Length and id of the last token of ``word[:n]``; ``lasts`` holds those of shorter prefixes, by length, in a ring."""
+        back, ending, ring = self.back, self.ending, len(lasts)
+        found, state, at = [], 0, n
+        while at:
+            at -= 1
+            state = back.get(state << 8 | word[at])
+            if state is None:
+                break
+            if ending[state] >= 0:
+                found.append((n - at, ending[state]))
+        for k, token in reversed(found):
+            if self._stand(lasts[(n - k) % ring], token):
+                return k, token
+        raise ValueError(f"no token ends at byte {n}")
+
     def compile(self, word: bytes) -> int:
         """Tokens that the word transducer emits for a pre-token; states it lacks are added."""
-        child, emits, last, token_of = self.child, self.emits, self.last, self.token_of
-        state, path, sums, total = 0, [0], [0], 0
-        for n, byte in enumerate(word, 1):
+        child, emits, last = self.child, self.emits, self.last
+        ring = self.longest + 1
+        lasts, sums = [-1] * ring, [0] * ring
+        state = total = 0
+        for n, byte in enumerate(word[:LONG], 1):
             key = state << 8 | byte
             to = child.get(key)
             if to is None:
-                for k in range(min(n, self.longest), 0, -1):
-                    token = token_of.get(word[n - k : n])
-                    if token is not None and self._stand(last[path[n - k]], token):
-                        break
+                k, token = self._last_token(word, n, lasts)
                 to = child[key] = len(emits)
-                emits.append(sums[n - k] + 1 - total)
+                emits.append(sums[(n - k) % ring] + 1 - total)
                 last.append(token)
             state = to
             total += emits[state]
-            path.append(state)
-            sums.append(total)
+            lasts[n % ring], sums[n % ring] = last[state], total
+        for n in range(LONG + 1, len(word) + 1):
+            k, lasts[n % ring] = self._last_token(word, n, lasts)
+            total = sums[n % ring] = sums[(n - k) % ring] + 1
         return total
 
     def marks(self, joined: str, first: np.ndarray) -> np.ndarray:

@@ -179,6 +179,16 @@ def test_memory_of_a_worker_is_bounded_over_a_batch_of_distinct_words():
     assert resident_mb(coded) < 160
 
 
+def test_long_unseen_words_make_no_states_and_count_as_the_librarys():
+    rng, byte, counts = random.Random(6), library(BYTE), token_counts.Counter(BYTE)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "abCD", "=-_/<>#*", "\u0430\u0431\u0432\u0433"):
+        for n in (token_counts.LONG - 1, token_counts.LONG, token_counts.LONG + 1, 50_000):
+            word = "".join(rng.choices(letters, k=n))
+            before = len(counts.emits)
+            assert counts.count_batch([word]) == [len(byte.encode(word, add_special_tokens=False).ids)]
+            assert len(counts.emits) - before <= token_counts.LONG and len(counts.stands) <= token_counts.STANDS
+
+
 def test_long_texts_and_clashing_columns(spark):
     """Texts longer than a stretch, with and without blanks, and columns named like the operators' own."""
     texts = [f"word{i % 977} é,{i} " * 40_000 for i in range(2)] + ["x" * 300_000 + " y", "a\nb" * 100_000]
