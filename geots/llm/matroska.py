@@ -294,7 +294,7 @@ def read(files: DataFrame, media: str = "media") -> DataFrame:
     """``files`` with ``payload`` (binary), ``feature`` (string) and ``problem`` (string).
 
     ``payload`` joins the packets' bytes in the order of the file. ``feature`` tells codec, rate,
-    tracks, clusters, packets, cues that lead to a cluster, the duration, and the samples' mean
+    tracks, clusters, packets, clusters that cues lead to, the duration, and the samples' mean
     and root mean square. A null file gives nulls; a broken one gives nulls and its ``problem``.
     Existing columns of these names are replaced.
     """
@@ -318,7 +318,7 @@ def read(files: DataFrame, media: str = "media") -> DataFrame:
             "tracks": len(media.tracks),
             "clusters": len(media.clusters),
             "packets": len(media.packets),
-            "cues": sum(c[2] in set(media.clusters) for c in media.cues) if len(media.cues) < 64 else len({c[2] for c in media.cues} & set(media.clusters)),
+            "cues": len({c[2] for c in media.cues} & set(media.clusters)),
             "ms": ends // 1_000_000,
             "mean": f"{wave.mean():.3f}" if len(wave) else "",
             "rms": f"{np.sqrt(np.square(wave).mean()):.3f}" if len(wave) else "",
