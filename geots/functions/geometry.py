@@ -153,10 +153,30 @@ def is_closed(ring: Column) -> Column:
     return (F.size(ring) >= 4) & (F.get(ring, F.lit(0)) == F.element_at(ring, -1))
 
 
+def _any_crossing(every: Column) -> Column:
+    """Whether two edges properly cross.
+
+    Edges are put into as many bands of equal height as the root of their number, each into all
+    bands that it meets: two edges that cross do so in a band of both, so a band's own are compared.
+    """
+
+    def within(s: Column, k: Column) -> Column:
+        low, high = s["low"] + k * s["step"], F.when(k == s["n"] - 1, s["high"]).otherwise(s["low"] + (k + 1) * s["step"])
+        own = F.filter(s["every"], lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high))
+        return given(own, lambda band: F.exists(band, lambda e: F.exists(band, lambda f: _proper(e, f))))
+
+    def measured(edges_: Column) -> Column:
+        low = F.array_min(F.transform(edges_, lambda e: F.least(e["y1"], e["y2"])))
+        high = F.array_max(F.transform(edges_, lambda e: F.greatest(e["y1"], e["y2"])))
+        n = F.greatest(F.ceil(F.sqrt(F.size(edges_))), F.lit(1).cast("long"))
+        return F.struct(edges_.alias("every"), low.alias("low"), high.alias("high"), n.alias("n"), ((high - low) / n).alias("step"))
+
+    return given(given(every, measured), lambda s: F.exists(F.sequence(F.lit(0).cast("long"), s["n"] - 1), lambda k: within(s, k)))
+
+
 def is_simple_polygon(rings: Column) -> Column:
     """Structure and crossings: every ring closed, and no two edges that properly cross."""
-    every = polygon_edges(rings)
-    return F.coalesce(F.forall(rings, is_closed) & ~F.exists(every, lambda e: F.exists(every, lambda f: _proper(e, f))), F.lit(False))
+    return F.coalesce(F.forall(rings, is_closed) & ~_any_crossing(polygon_edges(rings)), F.lit(False))
 
 
 def repaired(parts: Column) -> Column:

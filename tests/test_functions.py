@@ -2,7 +2,9 @@
 
 import datetime as dt
 import math
+import random
 import struct
+import time
 
 import pytest
 from geots.config import Config
@@ -97,6 +99,33 @@ def test_representative_point_is_inside(spark):
     assert one(spark, geometry.in_polygon(geometry.edges(parts([ring])), F.lit(p["x"]), F.lit(p["y"])))
 
 
+def test_simple_polygons_are_those_without_crossings(spark):
+    rng = random.Random(12)
+
+    def side(a, b, c):
+        return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    def simple(ring):
+        es = list(zip(ring, ring[1:]))
+        return not any(side(*e, f[0]) * side(*e, f[1]) < 0 and side(*f, e[0]) * side(*f, e[1]) < 0 for e in es for f in es)
+
+    rings = []
+    for i in range(60):
+        ring = [(math.cos(t * 0.5) * rng.uniform(3, 5), math.sin(t * 0.5) * rng.uniform(3, 5) if i % 3 else 0.0) for t in range(12)]
+        if i % 2:  # two vertices swapped
+            j, k = rng.sample(range(12), 2)
+            ring[j], ring[k] = ring[k], ring[j]
+        rings.append([*ring, ring[0]])
+    df = spark.createDataFrame([(i, [[(float(x), float(y)) for x, y in r]]) for i, r in enumerate(rings)], "i int, rings array<array<struct<x: double, y: double>>>")
+    got = {r["i"]: r["s"] for r in df.select("i", geometry.is_simple_polygon(F.col("rings")).alias("s")).collect()}
+    assert got == {i: simple(r) for i, r in enumerate(rings)} and 10 < sum(got.values()) < 50
+    n = 4000
+    round_ = F.transform(F.sequence(F.lit(0), F.lit(n)), lambda k: geometry.point(F.cos((k % n) * (2 * math.pi / n)), F.sin((k % n) * (2 * math.pi / n))))
+    began = time.perf_counter()
+    assert spark.range(1).select(geometry.is_simple_polygon(F.array(round_))).first()[0]
+    assert time.perf_counter() - began < 30
+
+
 def test_repair(spark):
     messy = parts([[(0, 0), (0, 0), (10, 0), (10, 10), (0, 10)], [(1, 1), (2, 2), (1, 1)]], [[(5, 5), (6, 6), (5, 5)]])
     fixed = one(spark, geometry.repaired(messy))
