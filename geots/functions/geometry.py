@@ -131,22 +131,35 @@ def given(value: Column, use) -> Column:
 
 
 def representative_point(parts: Column) -> Column:
-    """A point inside: the centroid, if it is inside, else the middle of the longest run at mid height.
+    """A point on the surface: the middle of the widest run inside of a part, at its mid height.
 
-    The height is that of the largest bounding box's middle; null for a geometry without edges.
+    That height lies halfway between the heights of vertices next to the middle of the part's
+    bounding box, so that the line meets no vertex and the point is inside, on no edge. Of equally
+    wide runs it is the one of the first part, then the leftmost; null for a geometry without area.
     """
 
-    def middle(every: Column, y: Column) -> Column:
-        def longest(cross: Column) -> Column:
-            pairs = F.filter(F.sequence(F.lit(0), F.greatest(F.size(cross) - 2, F.lit(0))), lambda i: (i % 2 == 0) & (i + 1 < F.size(cross)))
-            runs = F.transform(pairs, lambda i: F.struct((F.get(cross, i + 1) - F.get(cross, i)).alias("w"), ((F.get(cross, i) + F.get(cross, i + 1)) / 2).alias("x")))
-            return F.when(F.size(runs) > 0, F.struct(F.array_max(runs)["x"].alias("x"), y.alias("y")))
+    def height(every: Column) -> Column:
+        ys = F.transform(every, lambda e: e["y1"])
+        middle = (F.array_min(ys) + F.array_max(ys)) / 2
+        return given(middle, lambda m: (F.array_max(F.filter(ys, lambda y: y <= m)) + F.array_min(F.filter(ys, lambda y: y > m))) / 2)
 
-        return given(F.array_sort(F.transform(F.filter(every, lambda e: _crosses(e, y)), lambda e: crossing_x(e, y))), longest)
+    def widest(s: Column) -> Column:
+        def runs(cross: Column) -> Column:
+            starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(cross) - 2, F.lit(0))), lambda i: (i % 2 == 0) & (i + 1 < F.size(cross)))
+            return F.transform(starts, lambda i: F.struct((F.get(cross, i + 1) - F.get(cross, i)).alias("w"), ((F.get(cross, i) + F.get(cross, i + 1)) / 2).alias("x"), s["y"].alias("y")))
 
-    b = bounds(vertices(parts))
-    known = F.struct(centroid(parts).alias("c"), edges(parts).alias("e"), ((b["ymin"] + b["ymax"]) / 2).alias("y"))
-    return given(known, lambda s: F.when(in_polygon(s["e"], s["c"]["x"], s["c"]["y"]), s["c"]).otherwise(middle(s["e"], s["y"])))
+        return given(F.array_sort(F.transform(F.filter(s["every"], lambda e: _crosses(e, s["y"])), lambda e: crossing_x(e, s["y"]))), runs)
+
+    def of_part(rings: Column) -> Column:
+        known = given(polygon_edges(rings), lambda every: F.struct(every.alias("every"), height(every).alias("y")))
+        return given(known, widest)
+
+    def wider(best: Column, run: Column) -> Column:
+        return F.when(best.isNull() | (run["w"] > best["w"]), run).otherwise(best)
+
+    every_run = F.flatten(F.transform(parts, of_part))
+    none = F.lit(None).cast("struct<w: double, x: double, y: double>")
+    return given(F.aggregate(every_run, none, wider), lambda s: F.when(s.isNotNull(), F.struct(s["x"].alias("x"), s["y"].alias("y"))))
 
 
 def is_closed(ring: Column) -> Column:
@@ -182,8 +195,8 @@ def is_simple_polygon(rings: Column) -> Column:
 def repaired(parts: Column) -> Column:
     """Rings closed, repeated vertices and rings without area dropped, polygons without a ring gone.
 
-    This is a subset of a full validity repair: crossings are left, and the even-odd rule then
-    decides what is inside.
+    Crossings are left, and the even-odd rule then decides what is inside; ``repair.made_valid``
+    resolves them.
     """
 
     def ring(r: Column) -> Column:

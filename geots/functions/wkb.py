@@ -44,7 +44,7 @@ class _Parser:
         if kind == POLYGON:
             rings = [self.coordinates(order, dims) for _ in range(self.take(order + "I"))]
             if rings:
-                self.polygons.append([[{"x": float(v[0]), "y": float(v[1])} for v in r] for r in rings])
+                self.polygons.append([r[:, :2] for r in rings])
         elif kind == POINT:
             self.at += 8 * dims
         elif kind == 2:
@@ -56,7 +56,8 @@ class _Parser:
             raise ValueError(f"geometry type {code}")
 
 
-def polygons_of(data: bytes | None) -> list | None:
+def rings_of(data: bytes | None) -> list[list[np.ndarray]] | None:
+    """A geometry's polygons as lists of rings: arrays of (x, y)."""
     if data is None:
         return None
     parser = _Parser(bytes(data))
@@ -64,6 +65,11 @@ def polygons_of(data: bytes | None) -> list | None:
     return parser.polygons
 
 
+def polygons_of(data: bytes | None) -> list | None:
+    found = rings_of(data)
+    return found if found is None else [[[{"x": x, "y": y} for x, y in r.tolist()] for r in rings] for rings in found]
+
+
 @F.pandas_udf(PARTS)
 def decoded(wkb: pd.Series) -> pd.Series:
     """``parts`` of a geometry column: polygons, multipolygons, and the polygons of collections.

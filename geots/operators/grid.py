@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import crs, geometry, text, wkb
+from ..functions import crs, geometry, repair, text, wkb
 from .order import numbered
 
 CORNER, CENTRE, SNAPPED = "corner", "centre", "snapped"
@@ -21,12 +21,15 @@ def with_default_id(plots: DataFrame, order: list[str], id_col: str = "plot_id")
 
 
 def polygons(plots: DataFrame, geom: str = "geometry") -> DataFrame:
-    """``plots`` with ``parts`` for the geometry column, repaired; rows without area go.
+    """``plots`` with ``parts`` for the geometry column, made valid; rows without area go.
 
-    Null geometries go first, then empty ones. ``valid`` tells whether edges cross nowhere.
+    Null geometries go first, then empty ones. ``valid`` tells whether the repair has come to an end.
     """
-    kept = plots.filter(F.col(geom).isNotNull()).withColumn("parts", geometry.repaired(wkb.decoded(geom)))
-    return kept.filter(F.size("parts") > 0).withColumn("valid", F.forall("parts", geometry.is_simple_polygon))
+    # Not deterministic for the planner, who would else repair a row again for each use of the result.
+    repaired = repair.decoded_valid.asNondeterministic()(F.col(geom))
+    kept = plots.filter(F.col(geom).isNotNull()).withColumn("__repaired", repaired)
+    found = kept.withColumns({"parts": F.col("__repaired.parts"), "valid": F.col("__repaired.valid")}).drop("__repaired")
+    return found.filter(F.size("parts") > 0)
 
 
 def utm_zone(plots: DataFrame, boundary: float = 102.0) -> DataFrame:

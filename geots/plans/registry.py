@@ -349,6 +349,31 @@ def p12(spark, d):
     return grid.polygons(bridge.plots(spark, d).select("plot_id", bytes_of.alias("geometry"))).select("plot_id", "valid", F.size("parts").cast("long").alias("n_parts"))
 
 
+@query("p13_make_valid", BOX + """
+SELECT plot_id, CASE plot_id % 6 WHEN 0 THEN 2 WHEN 3 THEN 2 WHEN 5 THEN 2 ELSE 1 END AS n_parts, CASE plot_id % 6 WHEN 0 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 5 THEN 2 ELSE 1 END AS n_rings,
+       round(w * h * CASE plot_id % 6 WHEN 0 THEN 0.5 WHEN 2 THEN 0.8125 WHEN 3 THEN 1.5 WHEN 4 THEN 2.0 WHEN 5 THEN 0.75 ELSE 1.0 END, 6) AS area, TRUE AS valid FROM box""")
+def p13(spark, d):
+    """Bow ties, spikes, a hole that touches the outer ring, parts that overlap or share an edge, a hole across the whole."""
+    x, y, w, h, k = F.col("x0"), F.col("y0"), F.col("w"), F.col("h"), F.col("plot_id") % 6
+
+    def ring(*corners: tuple[float, float]) -> Column:
+        return F.array(*(geometry.point(x + a * w, y + b * h) for a, b in (*corners, corners[0])))
+
+    whole = ring((0, 0), (1, 0), (1, 1), (0, 1))
+    broken = (
+        F.when(k == 0, F.array(F.array(ring((0, 0), (1, 1), (1, 0), (0, 1)))))
+        .when(k == 1, F.array(F.array(ring((0, 0), (1, 0), (1, 1), (2, 2), (1, 1), (0, 1)))))
+        .when(k == 2, F.array(F.array(whole, ring((0, 0.5), (0.5, 0.25), (0.75, 0.5), (0.5, 0.75)))))
+        .when(k == 3, F.array(F.array(whole), F.array(ring((0.5, 0.5), (1.5, 0.5), (1.5, 1.5), (0.5, 1.5)))))
+        .when(k == 4, F.array(F.array(whole), F.array(ring((1, 0), (2, 0), (2, 1), (1, 1)))))
+        .otherwise(F.array(F.array(whole, ring((0.25, 0), (0.5, 0), (0.5, 1), (0.25, 1)))))
+    )
+    found = grid.polygons(bridge.boxes(spark, d).select("plot_id", wkb.encoded(broken).alias("geometry")))
+    n_rings = F.aggregate("parts", F.lit(0), lambda n, rings: n + F.size(rings))
+    simple = F.col("valid") & F.forall("parts", geometry.is_simple_polygon)
+    return found.select("plot_id", F.size("parts").alias("n_parts"), n_rings.alias("n_rings"), r6(geometry.area(F.col("parts")), "area"), simple.alias("valid"))
+
+
 @query("f13_representative_point", BOX + "SELECT plot_id, TRUE AS inside, FALSE AS empty FROM box")
 def f13(spark, d):
     # A step of its own: inside the test, which goes over the edges, the point would be found for each.
