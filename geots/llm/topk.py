@@ -1,13 +1,15 @@
 """Exact top-k inner-product search by norm order and rotated partial sums.
 
 The vectors are rotated by the singular vectors of the whole collection, which moves most of
-each length into the first components. Candidates are dealt into stripes and queries into
-blocks of bounded size; a task holds one stripe and one block. It goes through its candidates
-by descending length. A query is done with a stripe once the product of its length and the next
-candidate's cannot reach its k-th score (Cauchy-Schwarz). Before that, partial sums over the
-first rotated components, plus the product of the residual lengths as their bound, rule out
-candidates; what is left is scored exactly on the unrotated integers. A last step merges the
-stripes' results, k rows a stripe and query at most.
+each length into the first components. Candidates are cut into stripes by descending length and
+written once. The first stripe, the longest vectors, is searched for all queries; the k-th score
+found there is a query's floor. By Cauchy-Schwarz a query then needs the stripes alone whose
+longest vector can lift its product of lengths to the floor: the first so many, its reach. Queries
+are put into blocks by reach, and a stripe meets the blocks that reach it; no other rows are
+shuffled. A task holds one stripe and one block and goes through its candidates by descending
+length, by the same bound; partial sums over the first rotated components, plus the product of the
+residual lengths as their bound, rule out candidates, and what is left is scored exactly on the
+unrotated integers. A last step merges the stripes' results, k rows a stripe and query at most.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import Scratch, map_batches
 
 STRIPE = 4096  # candidates of a task
 BLOCK = 4096  # queries of a task
@@ -35,7 +37,7 @@ def quantised(vector: Column, scale: int = 256) -> Column:
 def rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
     """For the commonest vector lengths, the right singular vectors of all vectors of that length.
 
-    Each partition sums outer products; what reaches the driver is one matrix a length.
+    Each partition sums outer products; what reaches the driver is one matrix a length, in Arrow columns.
     """
     sizes = vectors.groupBy("dim").count().filter(f"dim between 2 and {ROTATED}").orderBy(F.desc("count"), "dim").limit(KINDS)
     kept = sorted(r["dim"] for r in sizes.collect())
@@ -52,8 +54,11 @@ def rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
 
     parts = map_batches(vectors.select("dim", "v"), partial, "dim int, i int, j int, s double")
     out = {dim: np.zeros((dim, dim)) for dim in kept}
-    for r in parts.groupBy("dim", "i", "j").agg(F.sum("s").alias("s")).collect():
-        out[r["dim"]][r["i"], r["j"]] = r["s"]
+    sums = parts.groupBy("dim", "i", "j").agg(F.sum("s").alias("s")).toArrow() if kept else pa.table({c: [] for c in ("dim", "i", "j", "s")})
+    of_dim, i, j, s = (sums.column(c).to_numpy() for c in ("dim", "i", "j", "s"))
+    for dim in kept:
+        own = of_dim == dim
+        out[dim][i[own], j[own]] = s[own]
     return {dim: np.linalg.eigh(m)[1][:, ::-1] for dim, m in out.items()}
 
 
@@ -65,8 +70,11 @@ def _matrices(batch: pa.RecordBatch):
         yield dim, own.column("v").flatten().to_numpy(zero_copy_only=False).reshape(own.num_rows, dim).astype(np.float64)
 
 
-def search(q_ids, q, c_ids, c, basis, k: int):
-    """Exact best k of the candidates ``c`` for each query: rows (query, candidate, score)."""
+def search(q_ids, q, c_ids, c, basis, k: int, floor=None):
+    """Exact best k of the candidates ``c`` for each query: rows (query, candidate, score).
+
+    Scores below a query's ``floor`` may be left out.
+    """
     exact = np.float64 if np.abs(q).max(initial=0).astype(float) * np.abs(c).max(initial=0).astype(float) * q.shape[1] < 2**53 else object
     lengths = np.sqrt(np.square(c.astype(np.float64)).sum(1))
     order = np.lexsort((c_ids, -lengths))
@@ -79,7 +87,7 @@ def search(q_ids, q, c_ids, c, basis, k: int):
     q_rest, c_rest = (np.sqrt(np.square(x[:, head:]).sum(1)) for x in (rq, rc))
     slack = 1e-9 * (q_len * lengths.max(initial=0) + 1)  # more than rounding can take from a bound
     best: list[list[tuple]] = [[] for _ in q_ids]
-    floor = np.full(len(q_ids), -np.inf)
+    floor = np.full(len(q_ids), -np.inf) if floor is None else floor.astype(float)
     exact_q, exact_c = (q.astype(exact), c.astype(exact))
     for at in range(0, len(c), STEP):
         active = np.flatnonzero(q_len * lengths[at] + slack >= floor)
@@ -131,18 +139,89 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
         own = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<bigint>").alias("v"))
         return own.filter("id is not null and v is not null and not exists(v, x -> x is null)").withColumn("dim", F.size("v"))
 
-    candidates, asked = clean(vectors), clean(queries).dropDuplicates(["id"])
-    basis = rotations(candidates)
-    stripes = max(1, -(-candidates.count() // STRIPE))
-    blocks = max(1, -(-asked.count() // BLOCK))
+    spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession, "topk")
+    candidates, asked = clean(vectors), scratch.table(clean(queries).dropDuplicates(["id"]))
+    n, n_asked = candidates.count(), asked.count()
+    basis = spark.sparkContext.broadcast(rotations(candidates))
+    # Repeated rows of one vector have a number of their own, so that they too are cut into stripes.
+    longest = ["dim", F.desc("norm"), "id", F.monotonically_increasing_id()]
+    cut = candidates.withColumn("norm", _norm()).repartitionByRange(max(1, -(-n // STRIPE)), *longest)
+    striped = scratch.table(cut.withColumn("stripe", F.spark_partition_id()))
+    # One row a stripe; by length their longest vectors' norms in falling order, and their numbers.
+    tops = striped.groupBy("dim", "stripe").agg(F.max("norm").alias("norm")).orderBy("dim", "stripe").toArrow()
+    of_dim, number, norm = (tops.column(c).to_numpy() for c in ("dim", "stripe", "norm"))
+    order = {int(d): (number[of_dim == d], norm[of_dim == d]) for d in np.unique(of_dim)}
+
+    blocks = max(1, -(-n_asked // BLOCK))
+    dealt = asked.withColumn("floor", F.lit(float("-inf"))).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    heads = spark.createDataFrame([(d, int(numbers[0])) for d, (numbers, _) in order.items()], "dim int, stripe int")  # one row a length
+    to_head = dealt.join(heads, "dim")
+    head = scratch.table(_searched(striped, to_head, to_head.select("dim", "block", "stripe").distinct(), basis, k))
+
+    floors = head.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("low")).filter(F.col("n") >= k)
+    known = asked.join(floors, asked["id"] == floors["query_id"], "left").select("id", "v", "dim", F.coalesce("low", F.lit(float("-inf"))).alias("floor"))
+    reached = scratch.table(_by_reach(known, {d: norms for d, (_, norms) in order.items()}).repartitionByRange(blocks, "dim", F.desc("reach"), "id").withColumn("block", F.spark_partition_id()))
+    later = spark.sparkContext.broadcast({d: numbers for d, (numbers, _) in order.items()})
+
+    def stripes_of(batches):
+        for batch in batches:
+            rows = batch.to_pydict()
+            for d, block, reach in zip(rows["dim"], rows["block"], rows["reach"]):
+                numbers = later.value[d][1:reach]
+                for at in range(0, len(numbers), STRIPE):
+                    part = numbers[at : at + STRIPE]
+                    yield pa.RecordBatch.from_pydict({"dim": pa.array([d] * len(part), pa.int32()), "block": pa.array([block] * len(part), pa.int32()), "stripe": pa.array(part, pa.int32())})
+
+    # A block meets the stripes that any of its queries reaches: a row a pair of block and stripe.
+    pairs = reached.groupBy("dim", "block").agg(F.max("reach").alias("reach")).mapInArrow(stripes_of, "dim int, block int, stripe int")
+    each = reached.filter("reach > 1").mapInArrow(_expanded(later), "id long, v array<bigint>, dim int, floor double, block int, stripe int")
+    found = head.unionByName(_searched(striped, each, pairs, basis, k))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
 
-    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.lit(n_own)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        )
+def _norm() -> Column:
+    return F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+
+
+def _by_reach(queries: DataFrame, norms: dict[int, np.ndarray]) -> DataFrame:
+    """``queries`` with ``reach``: how many stripes of their length, the longest first, may hold a score of their floor."""
+    shared = queries.sparkSession.sparkContext.broadcast(norms)
+
+    def run(batches):
+        for batch in batches:
+            dims, length, floor = (batch.column(c).to_numpy() for c in ("dim", "norm", "floor"))
+            reach = np.zeros(len(dims), np.int32)
+            for d in np.unique(dims).tolist():
+                if d in shared.value:
+                    own = np.flatnonzero(dims == d)
+                    # more than rounding can take from the product of lengths
+                    least = (floor[own] - 1) / np.maximum(length[own] * (1 + 1e-9), 1e-300)
+                    reach[own] = np.searchsorted(-shared.value[d], -least, "right")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "v", "dim", "floor")), pa.array(reach)], names=["id", "v", "dim", "floor", "reach"])
 
-    left = dealt(candidates, "stripe", stripes, "block", blocks)
-    right = dealt(asked, "block", blocks, "stripe", stripes)
+    return map_batches(queries.withColumn("norm", _norm()), run, "id long, v array<bigint>, dim int, floor double, reach int")
+
+
+def _expanded(numbers):
+    """A function of batches: each query once for each later stripe that it reaches."""
+
+    def run(batches):
+        for batch in batches:
+            dims, reach = (batch.column(c).to_numpy() for c in ("dim", "reach"))
+            for row in range(batch.num_rows):
+                stripes = numbers.value[int(dims[row])][1 : reach[row]]
+                for at in range(0, len(stripes), 256):
+                    part = stripes[at : at + 256]
+                    own = batch.take(pa.array(np.full(len(part), row)))
+                    yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("id", "v", "dim", "floor", "block")), pa.array(part, pa.int32())], names=["id", "v", "dim", "floor", "block", "stripe"])
+
+    return run
+
+
+def _searched(striped: DataFrame, queries: DataFrame, pairs: DataFrame, basis, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best k of each stripe for the queries that are dealt to it, a task a stripe and block."""
     keys = ("dim", "stripe", "block")
 
     def run(c: pa.Table, q: pa.Table) -> pa.Table:
@@ -156,11 +235,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
 
             q_ids, q_rows = whole(q)
             c_ids, c_rows = whole(c)
-            rows = search(q_ids, q_rows, c_ids, c_rows, basis.get(dim), k)
+            rows = search(q_ids, q_rows, c_ids, c_rows, basis.value.get(dim), k, q.column("floor").to_numpy())
         columns = list(zip(*rows)) if rows else ((), (), ())
         return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), columns)})
 
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    left = striped.join(pairs, ["dim", "stripe"]).select(*(F.col(c).alias(c) for c in (*keys, "id", "v")))  # names apart from those on the right
+    right = queries.select(*keys, "id", "v", "floor")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score long")

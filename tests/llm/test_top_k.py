@@ -67,3 +67,25 @@ def test_quantised(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "i int, v array<float>")
     got = {r["i"]: r["q"] for r in df.select("i", topk.quantised(F.col("v")).alias("q")).collect()}
     assert got == {0: [128, -1], 1: None, 2: None, 3: None, 4: None, 5: []}
+
+
+def test_stripes_out_of_reach_are_not_searched(spark):
+    norms = {2: np.array([100.0, 50.0, 10.0, 1.0]), 3: np.array([7.0])}
+    asked = [(1, [3, 4], 2, 600.0), (2, [3, 4], 2, 250.0), (3, [3, 4], 2, 5.0), (4, [3, 4], 2, -math.inf), (5, [0, 0], 2, 0.0), (6, [0, 0, 1], 3, 7.0), (7, [1], 1, -math.inf)]
+    df = spark.createDataFrame(asked, "id long, v array<long>, dim int, floor double")
+    got = {r["id"]: r["reach"] for r in topk._by_reach(df, norms).collect()}
+    assert got == {1: 0, 2: 2, 3: 4, 4: 4, 5: 4, 6: 1, 7: 0}
+
+
+@pytest.mark.parametrize("spread", [0.0, 2.5])
+def test_many_stripes_with_and_without_pruning(spark, monkeypatch, spread):
+    """A third of all rows repeat one vector; lengths are alike, or differ so much that few stripes are reached."""
+    monkeypatch.setattr(topk, "STRIPE", 40)
+    monkeypatch.setattr(topk, "BLOCK", 30)
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(0, 20, (400, 9)) * np.sort(rng.lognormal(0, spread, 400))[:, None]
+    table = [(i, [int(x) for x in v]) for i, v in enumerate(vectors.round())]
+    table += [(7, table[7][1])] * 200
+    df = spark.createDataFrame(table, "vec_id long, vector array<long>").repartition(5)
+    got = rows(topk.top_k(df, df.filter("vec_id % 4 = 3"), k=5))
+    assert got == brute(table, [t for t in table if t[0] % 4 == 3], 5)
