@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
 from .common import Scratch, map_batches
 
 STRIPE = 4096  # candidates of a task
@@ -141,18 +142,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
 
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession, "topk")
     candidates, asked = clean(vectors), scratch.table(clean(queries).dropDuplicates(["id"]))
-    n, n_asked = candidates.count(), asked.count()
-    basis = spark.sparkContext.broadcast(rotations(candidates))
     # Repeated rows of one vector have a number of their own, so that they too are cut into stripes.
     longest = ["dim", F.desc("norm"), "id", F.monotonically_increasing_id()]
-    cut = candidates.withColumn("norm", _norm()).repartitionByRange(max(1, -(-n // STRIPE)), *longest)
+    cut = candidates.withColumn("norm", _norm()).repartitionByRange(max(1, -(-vectors.count() // STRIPE)), *longest)
     striped = scratch.table(cut.withColumn("stripe", F.spark_partition_id()))
+    basis = spark.sparkContext.broadcast(rotations(striped))
     # One row a stripe; by length their longest vectors' norms in falling order, and their numbers.
     tops = striped.groupBy("dim", "stripe").agg(F.max("norm").alias("norm")).orderBy("dim", "stripe").toArrow()
     of_dim, number, norm = (tops.column(c).to_numpy() for c in ("dim", "stripe", "norm"))
     order = {int(d): (number[of_dim == d], norm[of_dim == d]) for d in np.unique(of_dim)}
 
-    blocks = max(1, -(-n_asked // BLOCK))
+    blocks = max(1, -(-asked.count() // BLOCK))
     dealt = asked.withColumn("floor", F.lit(float("-inf"))).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     heads = spark.createDataFrame([(d, int(numbers[0])) for d, (numbers, _) in order.items()], "dim int, stripe int")  # one row a length
     to_head = dealt.join(heads, "dim")
@@ -160,7 +160,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
 
     floors = head.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("low")).filter(F.col("n") >= k)
     known = asked.join(floors, asked["id"] == floors["query_id"], "left").select("id", "v", "dim", F.coalesce("low", F.lit(float("-inf"))).alias("floor"))
-    reached = scratch.table(_by_reach(known, {d: norms for d, (_, norms) in order.items()}).repartitionByRange(blocks, "dim", F.desc("reach"), "id").withColumn("block", F.spark_partition_id()))
+    reaching = _by_reach(known, {d: norms for d, (_, norms) in order.items()}).withColumn("near", -F.col("reach"))
+    # By rank and not by partition, so that there are as many blocks as queries ask for, however Spark deals them.
+    ranked = numbered(reaching, ["dim", "near", "id"], "nth")
+    reached = scratch.table(ranked.withColumn("block", F.floor(F.col("nth") / BLOCK).cast("int")).drop("near", "nth"))
     later = spark.sparkContext.broadcast({d: numbers for d, (numbers, _) in order.items()})
 
     def stripes_of(batches):
@@ -177,8 +180,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     each = reached.filter("reach > 1").mapInArrow(_expanded(later), "id long, v array<bigint>, dim int, floor double, block int, stripe int")
     found = head.unionByName(_searched(striped, each, pairs, basis, k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _norm() -> Column:
