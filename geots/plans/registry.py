@@ -465,10 +465,11 @@ def j7(spark, d):
 
 @query("j8_coarse_mask", PART + "SELECT p_partkey, CAST(floor((x - 500000) / 20) AS INTEGER) AS mx, CAST(((floor((x - 500000) / 20) * 7) % 5) AS BIGINT) AS mask FROM q WHERE x >= 500000")
 def j8(spark, d):
-    """The coarse mask's cell under a fine pixel, from a mask raster of 20 m in blocks."""
-    fine = _parts(spark, d).filter("x >= 500000").select("p_partkey", F.lit("T").alias("tile"), "x", F.lit(10.0).alias("y"))
+    """The coarse mask's cell under a fine pixel, from a mask raster of 20 m in blocks, the same in each of three tiles."""
+    tiles = F.array(*map(F.lit, "ABC"))
+    fine = _parts(spark, d).filter("x >= 500000").select("p_partkey", F.element_at(tiles, (F.col("p_partkey") % 3 + 1).cast("int")).alias("tile"), "x", F.lit(10.0).alias("y"))
     cells = bridge.table(spark, d, "part").select((F.col("p_partkey") % 200).cast("int").alias("px")).distinct()
-    pixels = cells.select(F.lit("T").alias("tile"), F.lit(1).cast("long").alias("scene_id"), F.lit("mask").alias("band"), "px", F.lit(0).alias("py"), (F.col("px") * 7 % 5).alias("dn"))
+    pixels = cells.select(F.explode(tiles).alias("tile"), "px").select("tile", F.lit(1).cast("long").alias("scene_id"), F.lit("mask").alias("band"), "px", F.lit(0).alias("py"), (F.col("px") * 7 % 5).alias("dn"))
     place = {"gx": 500000.0, "gw": 20.0, "gy": 0.0, "gh": 20.0, "nx": 200, "ny": 1}
     meta = pixels.select("tile", "band").distinct().select("tile", "band", *(F.lit(v).alias(n) for n, v in place.items()), F.lit(None).cast("int").alias("nodata"))
     found = sampling.sampled(fine, sampling.blocked(pixels, BLOCK), meta, "mask", "mask", CONFIG)
