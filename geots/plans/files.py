@@ -6,6 +6,7 @@ and then moved there, so that a task that runs twice does no harm.
 
 from __future__ import annotations
 
+import itertools
 import os
 import shutil
 import sqlite3
@@ -15,6 +16,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from contextlib import closing
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import wkb
-from ..shared import mounted, shared_dir
+from ..shared import map_batches, mounted, shared_dir
+
+FOLDERS = 1000  # of plot files
 
 
 def folder(spark: SparkSession, label: str) -> str:
@@ -109,20 +113,38 @@ def write_shapes(plots: DataFrame, path: str, projection: str, parts: int = 2) -
 
 
 def write_plot_files(observations: DataFrame, path: str) -> None:
-    """(tile_no, plot_id, point_id, day, v) as a file a tile and plot, with a column for each of its days."""
-
-    def run(part: pa.Table) -> pa.Table:
-        tile, plot = part.column("tile_no")[0].as_py(), part.column("plot_id")[0].as_py()
-        cells = {(p, d): v for p, d, v in zip(*(part.column(c).to_pylist() for c in ("point_id", "name", "v")))}
-        points, days = sorted({p for p, _ in cells}), sorted({d for _, d in cells})
-        columns = {"x": [float(p) for p in points], "y": [float(plot)] * len(points)} | {d: [cells.get((p, d)) for p in points] for d in days}
+    """(tile_no, plot_id, point_id, day, v) as a file a tile and plot, with a column for each of its days.
+
+    The files lie in folders by plot, at most FOLDERS of them.
+    """
+
+    def write(tile: int, plot: int, rows: list[tuple]) -> None:
+        points, days = ({v: k for k, v in enumerate(sorted({r[c] for r in rows}))} for c in (0, 1))
+        cells = np.full((len(days), len(points)), np.nan)
+        for point, day, v in rows:
+            cells[days[day], points[point]] = np.nan if v is None else v
+        places = np.array([list(points), [np.nan if plot is None else plot] * len(points)], float)
+        flat = pa.array(np.concatenate((places, cells)).ravel(), from_pandas=True)
+        columns = [flat.slice(k, len(points)) for k in range(0, len(flat), len(points))]
+        table = pa.Table.from_arrays(columns, names=["x", "y", *days])
         sink = pa.BufferOutputStream()
-        pq.write_table(pa.table({k: pa.array(v, pa.float64()) for k, v in columns.items()}), sink)
-        put(f"{path}/tile{tile}_{plot}.parquet", sink.getvalue().to_pybytes())
-        return pa.table({"n": [len(cells)]})
+        # A file of a few values is mostly descriptions of columns, so these are short.
+        pq.write_table(table, sink, use_dictionary=False, write_statistics=False, store_schema=False, compression="none")
+        folder = f"{path}/{(plot or 0) % FOLDERS}"
+        os.makedirs(folder, exist_ok=True)
+        put(f"{folder}/tile{tile}_{plot}.parquet", sink.getvalue())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for (tile, plot), own in itertools.groupby(rows, key=itemgetter(0, 1)):
+            write(tile, plot, [r[2:] for r in own])
+            n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
 
     named = observations.select("tile_no", "plot_id", "point_id", F.date_format("day", "yyyy/MM/dd").alias("name"), "v")
-    named.groupBy("tile_no", "plot_id").applyInArrow(run, "n long").agg(F.sum("n")).collect()
+    dealt = named.repartition("tile_no", "plot_id").sortWithinPartitions("tile_no", "plot_id")
+    map_batches(dealt, run, "n long").agg(F.sum("n")).collect()
 
 
 def tiff_bytes(values: np.ndarray, block: int, origin: tuple[float, float], step: tuple[float, float], epsg: int, nodata: int | None, tiled: bool = True) -> bytes:

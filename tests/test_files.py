@@ -213,6 +213,39 @@ def test_months_of_plot_files(spark, tmp_path):
     assert got == {"2020-01": (5, pytest.approx((0.35 + 0.65) / 2)), "2020-02": (5, None)}
 
 
+def test_months_are_dealt_by_file_and_not_by_cell(spark, tmp_path):
+    """The plan has one exchange of file names and one of files' months; hidden names are no plots, folders in folders are."""
+    rng, want = np.random.default_rng(2), {}
+    for i in range(40):
+        days = [str(d).replace("-", "/") for d in np.datetime64("2001-01-20") + rng.choice(60, 20, False)] + ["2001/02/30"]
+        values = np.where(rng.random((21, 9)) < 0.4, np.nan, rng.random((21, 9)).round(3))
+        values[:, 0] = np.nan
+        folder = tmp_path / "deep" / str(i % 3) if i % 4 else tmp_path
+        folder.mkdir(parents=True, exist_ok=True)
+        kind = pa.float32() if i % 5 == 0 else pa.float64()
+        pq.write_table(pa.table({"x": np.zeros(9)} | {d: pa.array(v, kind, from_pandas=i % 2 == 0) for d, v in zip(days, values)}), folder / f"tile{i % 2}_{i // 2}.parquet")
+        for month in {d[:7] for d in days[:-1]}:
+            own = values[[k for k, d in enumerate(days[:-1]) if d[:7] == month]]
+            tops = [t for t in np.fmax.reduce(own).tolist() if t == t]
+            want.setdefault((i // 2, month.replace("/", "-")), []).extend([sum(tops) / len(tops)] if tops else [])
+    (tmp_path / "_out").mkdir()
+    for hidden in (tmp_path / "_out" / "a_500.parquet", tmp_path / ".b_501.parquet"):
+        pq.write_table(pa.table({"x": [1.0], "2001/01/01": [0.5]}), hidden)
+    df = tables.plot_file_months(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2 and "content" not in plan
+    got = {(r["plot_id"], r["month"]): r["v"] for r in df.collect()}
+    assert got == {k: pytest.approx(max(v), abs=1e-6) if v else None for k, v in want.items()}
+
+
+def test_plot_files_lie_in_folders_by_plot(spark, tmp_path):
+    rows = [(t, p, k, np.datetime64("2001-01-30").item(), None if (p + k) % 5 == 0 else p + k / 8) for t in (0, 1) for p in range(30) for k in range(t, 4)]
+    files.write_plot_files(spark.createDataFrame(rows, "tile_no int, plot_id long, point_id int, day date, v double"), str(tmp_path))
+    assert {f.name for f in tmp_path.iterdir()} <= {str(k) for k in range(1000)} and len(list(tmp_path.rglob("*.parquet"))) == 60
+    got = sorted((int(r["file"].split("/tile")[1][0]), r["plot_id"], int(r["x"]), r["y"], r["v"]) for r in tables.plot_files(spark, str(tmp_path)).fillna(-1.0, ["v"]).collect())
+    assert got == sorted((t, p, k, float(p), -1.0 if v is None else v) for t, p, k, _, v in rows)
+
+
 # GeoTIFF -----------------------------------------------------------------------------------------
 
 CASES = [(64, 64, 16, True, 16), (70, 45, 32, True, 16), (70, 45, 16, False, 16), (33, 20, 16, True, 48), (100, 7, 16, True, 32)]
