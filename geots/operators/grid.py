@@ -24,10 +24,12 @@ def polygons(plots: DataFrame, geom: str = "geometry") -> DataFrame:
     """``plots`` with ``parts`` for the geometry column, made valid; rows without area go.
 
     Null geometries go first, then empty ones. ``valid`` tells whether the repair has come to an end.
+    Rows are dealt to tasks before: a table of many polygons may come in one small file.
     """
     # Not deterministic for the planner, who would else repair a row again for each use of the result.
     repaired = repair.decoded_valid.asNondeterministic()(F.col(geom))
-    kept = plots.filter(F.col(geom).isNotNull()).withColumn("__repaired", repaired)
+    dealt = plots.filter(F.col(geom).isNotNull()).repartition(int(plots.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kept = dealt.withColumn("__repaired", repaired)
     found = kept.withColumns({"parts": F.col("__repaired.parts"), "valid": F.col("__repaired.valid")}).drop("__repaired")
     return found.filter(F.size("parts") > 0)
 

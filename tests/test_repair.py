@@ -171,6 +171,15 @@ def test_bytes_are_repaired_once(spark):
     assert {r["plot_id"]: len(r["parts"]) for r in found.collect()} == {i: c[1] for i, c in enumerate(CASES.values()) if c[1]}
 
 
+def test_polygons_of_one_file_are_repaired_by_several_tasks(spark):
+    """One partition of a small table is dealt before the repair, which is what costs time."""
+    box = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (4, 4), (4, 0), (0, 4), (0, 0))]
+    one = spark.range(40).coalesce(1).select("id", F.lit(wkb.polygon_bytes([[box]])).alias("geometry"))
+    tasks = grid.polygons(one).select("id", "valid", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["id"] for r in tasks) == list(range(40)) and all(r["valid"] for r in tasks)
+    assert len({r["task"] for r in tasks}) == 4
+
+
 def test_point_on_surface(spark):
     rng = random.Random(5)
     shapes = [[[SQUARE, [(4, 0.5), (9, 0.5), (9, 9.5), (4, 9.5), (4, 0.5)]]], [[[(0, 0), (1, 0), (1, 1), (0, 0)]], [SQUARE]]]
