@@ -24,9 +24,13 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def boxes(spark: SparkSession, d: str) -> DataFrame:
-    """(plot_id, x0, y0, w, h): a rectangle a supplier, in metres."""
+    """(plot_id, x0, y0, w, h): a rectangle a supplier, in metres.
+
+    They are dealt to tasks: many come in one small file, and what is done to each costs more than its bytes tell.
+    """
     k, n = F.col("s_suppkey"), F.col("s_suppkey") % 100
-    return table(spark, d, "supplier").select(
+    dealt = table(spark, d, "supplier").select("s_suppkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.select(
         k.alias("plot_id"),
         (500000 + 37 * n).cast("double").alias("x0"),
         (1400000 + 53 * n).cast("double").alias("y0"),

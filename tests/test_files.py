@@ -315,3 +315,9 @@ def test_queries_read_all_files(spark):
     path = files.folder(spark, "test")
     listed = files.write_rasters(bridge.pixels(spark, d), path, 16, (0.0, 0.0), (1.0, -1.0), 32647, 3999)
     assert listed.count() == len([n for n in os.listdir(path) if n.endswith(".tif")]) == 60
+
+
+def test_plots_of_one_file_become_points_in_several_tasks(spark):
+    """The suppliers lie in one small file; their points are not made, kept and looked up by one task."""
+    points = grid.grid(bridge.plots(spark, "/root/testdata/sf0.01")).select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(points) >= 4 and max(r["count"] for r in points) < sum(r["count"] for r in points) / 2
